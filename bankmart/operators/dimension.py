@@ -21,22 +21,27 @@ SHORT_MONTHS = [
 def surrogate_key(df: DataFrame, order: Sequence[str], key: str) -> DataFrame:
     """Add a dense 1..n key in the given order without sorting everything in one task.
 
-    The rows are range-partitioned and written once with their partition number, so a lost
-    executor cannot shift it. The offset of a partition is the number of rows before it;
-    the offsets table has one row per range partition, which bounds its broadcast. ``order``
+    The rows are range-partitioned, sorted inside each partition and written once with
+    their place (partition number in the upper bits, row number in the lower 33), so a lost
+    executor cannot shift it. The key is that row number plus the rows of all partitions
+    before, a table with one row per range partition, which bounds its broadcast. ``order``
     must identify a row, which also lets a frequent leading value be split.
     """
     by = [F.asc_nulls_first(c) for c in order]
-    staged = stage(df.repartitionByRange(*by).withColumn("_part", F.spark_partition_id()), key)
+    ranged = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    staged = stage(ranged.withColumn("_place", F.monotonically_increasing_id()), key)
+    part = F.shiftright("_place", 33)
+    placed = staged.select(
+        "*", part.alias("_part"), (F.col("_place") - F.shiftleft(part, 33)).alias("_row")
+    )
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        staged.groupBy("_part")
+        placed.groupBy("_part")
         .agg(F.count("*").alias("_n"))
         .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
-    place = F.row_number().over(Window.partitionBy("_part").orderBy(*by))
-    return staged.join(F.broadcast(offsets), "_part").select(
-        (F.col("_offset") + place).alias(key), *df.columns
+    return placed.join(F.broadcast(offsets), "_part").select(
+        (F.col("_offset") + F.col("_row") + 1).alias(key), *df.columns
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -15,9 +15,13 @@ SALTS = 64
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``1/share`` of all rows (always fewer than ``share``)."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    total = counts.agg(F.sum("_rows").alias("_total")).scalar()
+    """Keys without NULLs that hold over ``1/share`` of all rows; fewer than ``share`` can.
+
+    The total is a bare row count, which a columnar scan answers without reading columns.
+    """
+    present = df.where(reduce(and_, [F.col(k).isNotNull() for k in keys]))
+    counts = present.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    total = df.agg(F.count("*").alias("_total")).scalar()
     return counts.where(F.col("_rows") * share > total).select(*keys)
 
 
@@ -28,15 +32,18 @@ def lookup(
     how: str = "left",
     share: int = HOT_SHARE,
     salts: int = SALTS,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
-    """Join ``left`` to ``right``, whose ``keys`` are unique, on equal keys.
+    """Equi-join a large ``left`` that may have hot keys to ``right``.
 
     The few hot keys of the left side are spread over ``salts`` sub-keys; only their
     matching right rows are repeated. All other rows keep a single salt, so nothing else
-    grows. NULL keys match nothing, as in SQL, and are spread too.
+    grows. NULL keys match nothing, as in SQL, and are spread too. ``count_on`` is a
+    cheaper table with the same key distribution to find the hot keys on.
     """
     keys = list(keys)
-    hot = hot_keys(left.na.drop(subset=keys), keys, share).withColumn("_hot", F.lit(True))
+    counted = left if count_on is None else count_on
+    hot = hot_keys(counted, keys, share).withColumn("_hot", F.lit(True))
     hot = F.broadcast(hot)
     # The partition id tells full copies of a row apart and, unlike a random number, gives
     # the same salt when a lost task runs again.
@@ -59,6 +66,7 @@ def small_lookup(
     keys: Sequence[str],
     how: str = "left",
     max_rows: int = 100_000,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Join to a dimension that should be small, after counting it.
 
@@ -66,4 +74,4 @@ def small_lookup(
     """
     if right.limit(max_rows + 1).count() <= max_rows:
         return left.join(F.broadcast(right), list(keys), how)
-    return lookup(left, right, keys, how)
+    return lookup(left, right, keys, how, count_on=count_on)

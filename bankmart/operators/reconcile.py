@@ -67,15 +67,17 @@ def attribute_mismatch(
 ) -> DataFrame:
     """Values of the same attribute that differ between two tables for the same key.
 
-    ``form='pairs'`` lists each differing pair once. ``form='summary'`` gives one row per
-    (key, left value) with the number and range of the right values that contradict it: it
-    stays linear however many values a key has, because a value differs from all distinct
-    right values except, at most, itself.
+    ``form='pairs'`` is the audit's own result, each differing pair of distinct values
+    once; a hot key is spread over many tasks. A loan has one right value per cutoff, so
+    the pairs grow with the number of months. Where keys carry many values on both sides,
+    ``form='summary'`` stays linear: one row per (key, left value) with the number and
+    range of the right values that contradict it.
     """
     left = payments.select(key, as_money(left_value).alias(left_value)).distinct()
     right = loans.select(key, as_money(right_value).alias(right_value)).distinct()
     if form == "pairs":
-        return left.join(right, key).where(F.col(right_value) != F.col(left_value)).select(
+        joined = lookup(left, right, [key], how="inner")
+        return joined.where(F.col(right_value) != F.col(left_value)).select(
             key, right_value, left_value
         )
     per_key = right.where(F.col(right_value).isNotNull()).groupBy(key).agg(

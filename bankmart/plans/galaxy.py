@@ -109,8 +109,10 @@ def fact_credits(
     """Loan rows at (credit, cutoff) grain with three dimension keys."""
     rated = rating.withColumnRenamed("calificacion", "calificacion_sbs")
     keyed = small_lookup(credits, customer, CUSTOMER_KEYS)
-    keyed = small_lookup(keyed, rated, ["calificacion_sbs"])
-    keyed = small_lookup(keyed, product, ["producto_crediticio", "tipo_garantia"])
+    keyed = small_lookup(keyed, rated, ["calificacion_sbs"], count_on=credits)
+    keyed = small_lookup(
+        keyed, product, ["producto_crediticio", "tipo_garantia"], count_on=credits
+    )
     columns = [c for c in LOAN_TYPES if c not in LOAN_ATTRIBUTES]
     return keyed.select(
         *columns[:3], "id_cliente_PK", "id_calificacion_sk", "id_producto_PK", *columns[3:]
@@ -136,8 +138,8 @@ def fact_payments(
         payments, best_customer(customer),
         ["id_cliente", "segmento", "zona_geografica", "oficial_credito"],
     )
-    keyed = small_lookup(keyed, rated, ["calificacion_al_pago"])
-    keyed = small_lookup(keyed, state, ["estado_pago", "canal_pago"])
+    keyed = small_lookup(keyed, rated, ["calificacion_al_pago"], count_on=payments)
+    keyed = small_lookup(keyed, state, ["estado_pago", "canal_pago"], count_on=payments)
     return keyed.select(*PAYMENT_FACT)
 
 
@@ -146,8 +148,9 @@ def fact_customers(
 ) -> DataFrame:
     rated = rating.withColumnRenamed("calificacion", "calificacion_consolidada")
     keyed = small_lookup(customers, customer, CUSTOMER_KEYS)
-    keyed = small_lookup(keyed, status, ["es_cliente_preferente", "tiene_credito_en_mora"])
-    keyed = small_lookup(keyed, rated, ["calificacion_consolidada"])
+    flags = ["es_cliente_preferente", "tiene_credito_en_mora"]
+    keyed = small_lookup(keyed, status, flags, count_on=customers)
+    keyed = small_lookup(keyed, rated, ["calificacion_consolidada"], count_on=customers)
     return keyed.select(*CUSTOMER_FACT)
 
 
