@@ -39,9 +39,13 @@ def as_rate(c: Column | str) -> Column:
 
 
 def as_whole(c: Column | str) -> Column:
-    """Integer or NULL. ``12.00`` is 12; ``12.5`` is not an integer and gives NULL."""
+    """Integer or NULL. ``12.00`` is 12; ``12.5`` is not an integer and gives NULL.
+
+    Plain digits take the integer parser; only what it rejects is tried as a decimal.
+    """
     value = col(c).try_cast("decimal(20,4)")
-    return F.when(value == F.floor(value), value.try_cast("int"))
+    from_decimal = F.when(value == F.floor(value), value.try_cast("int"))
+    return F.coalesce(col(c).try_cast("int"), from_decimal)
 
 
 def as_day(c: Column | str) -> Column:

@@ -49,7 +49,7 @@ query("row_count_check", "n_before:n n_after:n diff:n",
       "SELECT b AS n_before, a AS n_after, a - b AS diff FROM (SELECT (SELECT count(*) FROM {balance}) AS b, (SELECT count(*) FROM {mart_balance}) AS a) x")
 query("row_count_check_payments", "n_before:n n_after:n diff:n",
       lambda t: row_count_check(
-          t.staged_payments, G.fact_payments(t.staged_payments, t.dim_customer, t.dim_rating, t.dim_state)),
+          t.mart_payments, G.fact_payments(t.mart_payments, t.dim_customer, t.dim_rating, t.dim_state)),
       "SELECT b AS n_before, a AS n_after, a - b AS diff FROM (SELECT (SELECT count(*) FROM {mart_payments}) AS b, (SELECT count(*) FROM {fact_payments}) AS a) x")
 
 # --- dimensions --------------------------------------------------------------------------
@@ -92,12 +92,12 @@ query("fact_credits", forms(LOAN_FACT) + " id_cliente_PK:n id_calificacion_sk:n
       "SELECT * FROM {fact_credits}")
 PAY_FORMS = {**S.PAYMENT_TYPES, **{c: "int" for c in ("id_calificacion_sk", "id_estado_PK", "id_cliente_PK")}}
 query("fact_payments", forms({c: PAY_FORMS[c] for c in G.PAYMENT_FACT}),
-      lambda t: G.fact_payments(t.staged_payments, t.dim_customer, t.dim_rating, t.dim_state),
+      lambda t: G.fact_payments(t.mart_payments, t.dim_customer, t.dim_rating, t.dim_state),
       "SELECT * FROM {fact_payments}")
 CUST_FORMS = {**S.CUSTOMER_TYPES, "es_cliente_preferente": "int", "tasa_endeudamiento_sistema_pct": S.RATE,
               **{c: "int" for c in ("id_cliente_PK", "id_status_t5", "id_calificacion_sk")}}
 query("fact_customers", forms({c: CUST_FORMS[c] for c in G.CUSTOMER_FACT}, tasa_endeudamiento_sistema_pct="r"),
-      lambda t: G.fact_customers(t.staged_customers, t.dim_customer, t.dim_status, t.dim_rating),
+      lambda t: G.fact_customers(t.mart_customers, t.dim_customer, t.dim_status, t.dim_rating),
       "SELECT * FROM {fact_customers}")
 query("fact_income", "fecha_mes:s " + " ".join(f"{c}:q" for c in G.INCOME_FACT[1:]),
       lambda t: G.fact_income(t.mart_income), "SELECT * FROM {mart_income}")
@@ -111,7 +111,7 @@ for role in ("fecha_desembolso", "fecha_vencimiento", "fecha_corte"):
           f"SELECT strftime({role}, '%Y-%m') AS ano_mes, sum(saldo_capital) AS portfolio FROM {{mart_credits}} GROUP BY 1")
 query("fk_coverage", "fk:s rows:n n_null:n null_share:r",
       lambda t: D.fk_coverage(
-          G.fact_payments(t.staged_payments, t.dim_customer, t.dim_rating, t.dim_state),
+          G.fact_payments(t.mart_payments, t.dim_customer, t.dim_rating, t.dim_state),
           ["id_cliente_PK", "id_calificacion_sk", "id_estado_PK"]),
       " UNION ALL ".join(
           f"SELECT '{k}' AS fk, count(*) AS rows, count(*) FILTER (WHERE {k} IS NULL) AS n_null, "

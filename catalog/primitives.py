@@ -83,7 +83,7 @@ query("join_left_ranked", "id_cliente:s provisions:m ranking:n",
           "id_cliente", "left"),
       "SELECT c.id_cliente, provisions, ranking FROM {customers} c LEFT JOIN {ranked_roll} r ON c.id_cliente = r.id_cliente AND ranking = 1")
 query("join_lateral_top1", "id_pago:s fecha_vencimiento_cuota:s id_cliente_PK:n",
-      lambda t: small_lookup(t.staged_payments, galaxy.best_customer(t.dim_customer),
+      lambda t: small_lookup(t.mart_payments, galaxy.best_customer(t.dim_customer),
                              ["id_cliente", "segmento", "zona_geografica", "oficial_credito"]),
       "SELECT * FROM {fact_payments}")
 query("join_lateral_values", "id_credito:s fecha_corte:s field:s value:s",

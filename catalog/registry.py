@@ -90,23 +90,16 @@ class Tables:
 
     @cached_property
     def staged_credits(self) -> DataFrame:
+        """The cleaned loans, written once for the dimensions and facts that read them."""
         return stage(self.mart_credits, "mart_credits")
 
-    @cached_property
-    def staged_customers(self) -> DataFrame:
-        return stage(self.mart_customers, "mart_customers")
-
-    @cached_property
-    def staged_payments(self) -> DataFrame:
-        return stage(self.mart_payments, "mart_payments")
-
     @cached_property
     def dim_customer(self) -> DataFrame:
         return galaxy.dim_customer(self.staged_credits)
 
     @cached_property
     def dim_rating(self) -> DataFrame:
-        return galaxy.dim_rating(self.staged_credits, self.staged_customers, self.staged_payments)
+        return galaxy.dim_rating(self.staged_credits, self.mart_customers, self.mart_payments)
 
     @cached_property
     def dim_product(self) -> DataFrame:
@@ -114,11 +107,11 @@ class Tables:
 
     @cached_property
     def dim_status(self) -> DataFrame:
-        return galaxy.dim_status(self.staged_customers)
+        return galaxy.dim_status(self.mart_customers)
 
     @cached_property
     def dim_state(self) -> DataFrame:
-        return galaxy.dim_payment_state(self.staged_payments)
+        return galaxy.dim_payment_state(self.mart_payments)
 
     @cached_property
     def months(self) -> DataFrame:
