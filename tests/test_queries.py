@@ -18,7 +18,10 @@ def results(spark):
     pool = ThreadPoolExecutor(8)
 
     def run(name):
-        return compare(QUERIES[name](spark, SF), con.cursor(), SQL[name])
+        df = QUERIES[name](spark, SF)
+        result = compare(df, con.cursor(), SQL[name])
+        result["plan"] = df._jdf.queryExecution().executedPlan().toString()
+        return result
 
     yield {name: pool.submit(run, name) for name in sorted(QUERIES)}
     pool.shutdown(cancel_futures=True)
@@ -37,3 +40,10 @@ def test_matches_reference(results, name):
     result = results[name].result()
     assert result["columns"]
     assert not result["extra"] and not result["lost"], result["rows"]
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_python_and_no_cross_join(results, name):
+    plan = results[name].result()["plan"]
+    for word in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert word not in plan
