@@ -1,4 +1,4 @@
-"""Joins of a large table to a table with unique keys, safe against hot keys."""
+"""Joins that stay balanced when a few keys hold most of the rows."""
 
 from __future__ import annotations
 
@@ -8,21 +8,27 @@ from operator import and_, or_
 
 from pyspark.sql import DataFrame, functions as F
 
-# A key is hot when it holds more than one row in HOT_SHARE. Fewer than HOT_SHARE keys can
-# do so, whatever the size of the table: that bounds the broadcast list of hot keys.
-HOT_SHARE = 1000
-SALTS = 64
 
+def fair_share(df: DataFrame) -> int:
+    """Number of equal pieces a table should shuffle into: the shuffle partitions set."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
-    """Keys without NULLs that hold over ``1/share`` of all rows; fewer than ``share`` can.
 
-    The total is a bare row count, which a columnar scan answers without reading columns.
+def hot_keys(df: DataFrame, keys: Sequence[str], share: int) -> DataFrame:
+    """Keys without NULLs that hold over ``1/share`` of all rows, and how many pieces of
+    that size (``_salts``) each of them is worth.
+
+    Fewer than ``share`` keys can be hot and their pieces add up to less than twice that,
+    whatever the size of the table. The total is a bare row count, which a columnar scan
+    answers without reading columns.
     """
     present = df.where(reduce(and_, [F.col(k).isNotNull() for k in keys]))
     counts = present.groupBy(*keys).agg(F.count("*").alias("_rows"))
     total = df.agg(F.count("*").alias("_total")).scalar()
-    return counts.where(F.col("_rows") * share > total).select(*keys)
+    pieces = F.col("_rows") * share
+    return counts.where(pieces > total).select(
+        *keys, F.ceil(pieces / total).cast("int").alias("_salts")
+    )
 
 
 def lookup(
@@ -30,32 +36,29 @@ def lookup(
     right: DataFrame,
     keys: Sequence[str],
     how: str = "left",
-    share: int = HOT_SHARE,
-    salts: int = SALTS,
+    share: int | None = None,
     count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join a large ``left`` that may have hot keys to ``right``.
 
-    The few hot keys of the left side are spread over ``salts`` sub-keys; only their
-    matching right rows are repeated. All other rows keep a single salt, so nothing else
-    grows. NULL keys match nothing, as in SQL, and are spread too. ``count_on`` is a
-    cheaper table with the same key distribution to find the hot keys on.
+    A key with more rows than a fair shuffle partition is cut into as many sub-keys as it
+    fills partitions; only its matching right rows are repeated, once per sub-key. All
+    other rows keep a single sub-key. NULL keys match nothing, as in SQL, and are spread.
+    ``count_on`` is a cheaper table with the same key distribution to find hot keys on.
     """
     keys = list(keys)
-    counted = left if count_on is None else count_on
-    hot = hot_keys(counted, keys, share).withColumn("_hot", F.lit(True))
-    hot = F.broadcast(hot)
+    share = share or fair_share(left)
+    hot = F.broadcast(hot_keys(left if count_on is None else count_on, keys, share))
     # The partition id tells full copies of a row apart and, unlike a random number, gives
     # the same salt when a lost task runs again.
-    spread = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    spread = F.xxhash64(*left.columns) + F.spark_partition_id()
     no_key = reduce(or_, [F.col(k).isNull() for k in keys])
+    pieces = F.when(no_key, F.lit(share)).otherwise(F.coalesce("_salts", F.lit(1)))
     salted_left = left.join(hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | no_key, spread).otherwise(F.lit(0))
-    ).drop("_hot")
-    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_right = right.join(hot, keys, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(F.lit(0))))
-    ).drop("_hot")
+        "_salt", F.pmod(spread, pieces).cast("int")
+    ).drop("_salts")
+    every = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    salted_right = right.join(hot, keys, "left").withColumn("_salt", F.explode(every)).drop("_salts")
     out = salted_left.join(salted_right, [*keys, "_salt"], how)
     return out.select(*left.columns, *[c for c in right.columns if c not in keys])
 

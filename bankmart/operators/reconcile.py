@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from bankmart.functions import as_day, as_decimal, as_money, as_rate, as_whole, month_gap, ratio
 from bankmart.operators.joins import lookup
 from bankmart.operators.rollup import (
-    first_income, latest_rollup, latest_sum, loan_rollup, recent_income, weighted_avg,
+    first_income, latest_sum, weighted_avg,
 )
 
 
@@ -149,23 +149,24 @@ def debt_to_income_audit(
     ``income_mode='record'`` uses the income of one record, ``'sum'`` the total over the
     loans of the customer's last cutoff, as the cleaning step does.
     """
-    dated = loans.withColumn("fecha_corte", as_day("fecha_corte"))
-    last = dated.agg(F.max("fecha_corte")).scalar()
-    exposure = (
-        dated.where(F.col("fecha_corte") == last)
-        .groupBy("id_cliente")
-        .agg(F.sum(as_money("saldo_total_exposicion")).alias("exposure"))
-    )
-    if income_mode == "sum":
-        income = latest_sum(loans, "ingresos_anuales", "recent_income")
-    else:
-        income = recent_income(loans)
+    amount = as_money("ingresos_anuales")
+    newest = F.max_by(amount, F.struct("id_credito"))
+    by_cutoff = loans.groupBy("id_cliente", as_day("fecha_corte").alias("cutoff")).agg(
+        F.sum(as_money("saldo_total_exposicion")).alias("exposure"),
+        (F.sum(amount) if income_mode == "sum" else newest).alias("recent_income"),
+    )
+    latest = by_cutoff.groupBy("id_cliente").agg(
+        F.max("cutoff").alias("cutoff"),
+        F.max_by(F.struct("exposure", "recent_income"), F.struct("cutoff")).alias("_last"),
+    )
+    # A customer has exposure at the last cutoff of the table only if it is its own last.
+    last = loans.agg(F.max(as_day("fecha_corte"))).scalar()
+    current = latest.where(F.col("cutoff") == last).select("id_cliente", "_last.*")
     left = customers.select(
         "id_cliente", as_decimal("tasa_endeudamiento_sistema_pct").alias("reported")
     )
-    joined = left.join(exposure, "id_cliente").join(income, "id_cliente")
     rate = ratio("exposure", "recent_income") * 100
-    return _gap_rows(joined.withColumn("detail_sum", rate), tolerance)
+    return _gap_rows(left.join(current, "id_cliente").withColumn("detail_sum", rate), tolerance)
 
 
 def _gap_rows(joined: DataFrame, tolerance: str) -> DataFrame:
@@ -181,18 +182,18 @@ def preferred_facts(loans: DataFrame, count_mode: str = "cutoff") -> DataFrame:
     ``count_mode='cutoff'`` counts the loans of the last cutoff; ``'row1'`` counts the one
     latest row, which is always one.
     """
-    day = as_day("fecha_corte")
-    newest = F.max_by("calificacion_sbs", F.struct(day, F.col("id_credito")))
-    figures = loans.groupBy("id_cliente").agg(
-        newest.alias("last_rating"), month_gap(F.min(day), F.max(day)).alias("tenure_months")
-    )
-    if count_mode == "row1":
-        return figures.withColumn("active_loans", F.lit(1).cast("bigint"))
-    counts = loans.groupBy("id_cliente", day.alias("_day")).agg(F.count("*").alias("n"))
-    active = counts.groupBy("id_cliente").agg(
-        F.max_by("n", F.struct("_day")).alias("active_loans")
-    )
-    return figures.join(active, "id_cliente")
+    by_cutoff = loans.groupBy("id_cliente", as_day("fecha_corte").alias("cutoff")).agg(
+        F.max_by("calificacion_sbs", F.struct("id_credito")).alias("last_rating"),
+        F.count("*").alias("active_loans"),
+    )
+    last = F.max_by(F.struct("last_rating", "active_loans"), F.struct("cutoff"))
+    facts = by_cutoff.groupBy("id_cliente").agg(
+        last.alias("_last"), month_gap(F.min("cutoff"), F.max("cutoff")).alias("tenure_months")
+    )
+    active = F.lit(1).cast("bigint") if count_mode == "row1" else F.col("_last.active_loans")
+    return facts.select(
+        "id_cliente", "_last.last_rating", "tenure_months", active.alias("active_loans")
+    )
 
 
 def preferred_flag_audit(

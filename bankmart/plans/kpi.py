@@ -295,11 +295,11 @@ def kpi_extremes_period(
     """Largest and smallest period total of a selection; at most twelve or four periods."""
     chosen = months if year is None else months.where(F.year(MONTH) == year)
     totals = period_totals(chosen, value, grain)
-    bounds = totals.agg(F.max("total").alias("_max"), F.min("total").alias("_min"))
+    whole = Window.partitionBy()
     flagged = totals.select(
         "period", "total",
-        (F.col("total") == bounds.select("_max").scalar()).alias("is_max"),
-        (F.col("total") == bounds.select("_min").scalar()).alias("is_min"),
+        (F.col("total") == F.max("total").over(whole)).alias("is_max"),
+        (F.col("total") == F.min("total").over(whole)).alias("is_min"),
     )
     return flagged.where(F.col("is_max") | F.col("is_min"))
 

@@ -120,7 +120,7 @@ query("kpi_expected_loss_product", "producto_crediticio:s tipo_garantia:s fecha_
 
 TRAIL = ("SELECT a.fecha_mes, {agg} AS value FROM {{months}} a JOIN {{months}} b ON (year(b.fecha_mes) * 12 + month(b.fecha_mes)) "
          "BETWEEN (year(a.fecha_mes) * 12 + month(a.fecha_mes)) - 11 AND (year(a.fecha_mes) * 12 + month(a.fecha_mes)) GROUP BY a.fecha_mes")
-query("kpi_provisions_12m", "fecha_mes:s value:m", lambda t: kpi.kpi_provisions_12m(t.months),
+query("kpi_provisions_12m", "fecha_mes:s value:m", lambda t: kpi.kpi_provisions_12m(t.mart_income),
       TRAIL.format(agg="sum(b.gasto_provisiones_periodo)"))
 query("kpi_portfolio_avg_12m", "fecha_mes:s value:q", lambda t: kpi.kpi_portfolio_avg_12m(t.months),
       TRAIL.format(agg="avg(CAST(b.cartera_bruta AS DOUBLE))"))
@@ -149,23 +149,23 @@ for name, column, grain, label in [
           f"(SELECT {label} AS period, sum({column}) AS total FROM {{months}} GROUP BY 1) a) b WHERE total = hi OR total = lo")
 for name, grain, label in [("kpi_period_param", "month", f"{LONG}[month(fecha_mes)]"),
                            ("kpi_period_param_quarter", "quarter", "concat('T', quarter(fecha_mes))")]:
-    query(name, "fecha_mes:s period:s", lambda t, grain=grain: kpi.kpi_period_param(t.months, grain),
+    query(name, "fecha_mes:s period:s", lambda t, grain=grain: kpi.kpi_period_param(t.mart_income, grain),
           f"SELECT fecha_mes, {label} AS period FROM {{months}}")
 
 # --- write-offs --------------------------------------------------------------------------
 
-query("kpi_writeoffs", "fecha_mes:s value:m previous:m diff:m", lambda t: kpi.kpi_writeoffs(t.months),
+query("kpi_writeoffs", "fecha_mes:s value:m previous:m diff:m", lambda t: kpi.kpi_writeoffs(t.mart_income),
       series("castigos_periodo"))
 REFERENCE = ("(SELECT ano, (SELECT avg(CAST(castigos_periodo AS DOUBLE)) FROM {months} WHERE year(fecha_mes) < ano) AS mean_earlier, "
              "(SELECT CAST(sum(castigos_periodo) AS DOUBLE) FROM {months} WHERE year(fecha_mes) = ano - 1) AS last_year FROM "
              "(SELECT DISTINCT year(fecha_mes) AS ano FROM {months}) y)")
 query("kpi_writeoff_reference", "ano:n mean_earlier:q per_month:q per_quarter:q",
-      lambda t: kpi.kpi_writeoff_reference(t.months),
+      lambda t: kpi.kpi_writeoff_reference(t.mart_income),
       f"SELECT ano, mean_earlier, last_year / 12 AS per_month, last_year / 4 AS per_quarter FROM {REFERENCE} r")
 for name, grain, period, parts in [("kpi_writeoff_alert", "month", "CAST(month(fecha_mes) AS STRING)", 12),
                                    ("kpi_writeoff_alert_quarter", "quarter", "concat('T', quarter(fecha_mes))", 4)]:
     query(name, "ano:n period:s writeoffs:m reference:q mean_earlier:q over_last_year:n over_mean:n",
-          lambda t, grain=grain: kpi.kpi_writeoff_alert(t.months, grain),
+          lambda t, grain=grain: kpi.kpi_writeoff_alert(t.mart_income, grain),
           f"SELECT w.ano, period, writeoffs, last_year / {parts} AS reference, mean_earlier, writeoffs > coalesce(last_year / {parts}, 0) AS over_last_year, "
           f"writeoffs > coalesce(mean_earlier, 0) AS over_mean FROM (SELECT year(fecha_mes) AS ano, {period} AS period, sum(castigos_periodo) AS writeoffs "
           f"FROM {{months}} GROUP BY 1, 2) w JOIN {REFERENCE} r ON w.ano = r.ano")

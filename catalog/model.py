@@ -104,7 +104,7 @@ query("fact_income", "fecha_mes:s " + " ".join(f"{c}:q" for c in G.INCOME_FACT[1
 query("fact_balance", "fecha_mes:s " + " ".join(f"{c}:{'q' if c == 'aporte_cosede' else 'm'}" for c in G.BALANCE_FACT[1:]),
       lambda t: G.fact_balance(t.mart_balance), "SELECT * FROM {mart_balance}")
 for role in ("fecha_desembolso", "fecha_vencimiento", "fecha_corte"):
-    query(f"role_date_join_{role}", "ano_mes:s portfolio:m",
+    query("role_date_join" if role == "fecha_corte" else f"role_date_join_{role}", "ano_mes:s portfolio:m",
           lambda t, role=role: D.role_date_sum(
               t.mart_credits, D.calendar_of(t.mart_credits, role), role, "ano_mes",
               {"portfolio": F.col("saldo_capital")}),

@@ -74,9 +74,10 @@ query("join_left_multikey", "id_credito:s fecha_corte:s id_cliente_PK:n",
 query("join_left_multikey_salted", "id_credito:s fecha_corte:s id_cliente_PK:n",
       lambda t: lookup(t.staged_credits, t.dim_customer, galaxy.CUSTOMER_KEYS, share=4),
       "SELECT * FROM {fact_credits}")
-query("join_hot_keys", "moneda:s segmento:s",
+query("join_hot_keys", "moneda:s segmento:s _salts:n",
       lambda t: hot_keys(t.loans, ["moneda", "segmento"], share=6),
-      "SELECT moneda, segmento FROM {loans} GROUP BY 1, 2 HAVING count(*) * 6 > (SELECT count(*) FROM {loans})")
+      "SELECT moneda, segmento, ceil(count(*) * 6 / (SELECT count(*) FROM {loans})) AS _salts FROM {loans} GROUP BY 1, 2 "
+      "HAVING count(*) * 6 > (SELECT count(*) FROM {loans})")
 query("join_left_ranked", "id_cliente:s provisions:m ranking:n",
       lambda t: t.customers.select("id_cliente").join(
           t.rolled.join(rollup.rank_cutoffs(t.rolled).where("ranking = 1"), ["id_cliente", "fecha_corte"]),
