@@ -94,30 +94,26 @@ query("dq_top_missing", " ".join(f"{c}:s" for c in TOP),
 
 # --- uniqueness --------------------------------------------------------------------------
 
-query("dq_duplicate_keys", "id_credito:s fecha_corte:s n:n",
-      lambda t: keys.duplicate_keys(t.loans.select("id_credito", "fecha_corte").unionAll(
-          t.loans.where("en_castigo = '1'").select("id_credito", "fecha_corte")),
-          ["id_credito", "fecha_corte"]),
-      "SELECT id_credito, fecha_corte, count(*) AS n FROM (SELECT * FROM {loans} UNION ALL "
-      "SELECT * FROM {loans} WHERE en_castigo = '1') u GROUP BY ALL HAVING count(*) > 1")
-query("dq_duplicate_keys_income", "fecha_mes:s n:n total_net:m",
-      lambda t: keys.duplicate_keys(
-          t.income.withColumn("fecha_mes", F.substring("fecha_mes", 1, 4)), ["fecha_mes"],
-          {"total_net": F.sum(as_money("utilidad_neta"))}),
-      f"SELECT substr(fecha_mes, 1, 4) AS fecha_mes, count(*) AS n, sum({d2('utilidad_neta')}) AS total_net "
-      "FROM {income} GROUP BY 1 HAVING count(*) > 1")
-query("dq_duplicate_keys_balance", "fecha_mes:s n:n year_seen:s month_seen:s",
-      lambda t: keys.duplicate_keys(
-          t.balance.withColumn("fecha_mes", F.substring("fecha_mes", 1, 4)), ["fecha_mes"],
-          {"year_seen": F.max("ano"), "month_seen": F.max("mes")}),
-      "SELECT substr(fecha_mes, 1, 4) AS fecha_mes, count(*) AS n, max(ano) AS year_seen, "
-      "max(mes) AS month_seen FROM {balance} GROUP BY 1 HAVING count(*) > 1")
-query("dq_duplicate_keys_payments", "id_pago:s n:n loan_seen:s instalment_seen:s",
+query("dq_duplicate_keys", "id_pago:s n:n loan_seen:s instalment_seen:s",
       lambda t: keys.duplicate_keys(
           t.payments, ["id_pago"],
           {"loan_seen": F.max("id_credito"), "instalment_seen": F.max("numero_cuota")}),
       "SELECT id_pago, count(*) AS n, max(id_credito) AS loan_seen, max(numero_cuota) AS "
       "instalment_seen FROM {payments} GROUP BY id_pago HAVING count(*) > 1")
+query("dq_duplicate_keys_loans", "id_credito:s fecha_corte:s n:n",
+      lambda t: keys.duplicate_keys(t.loans, ["id_credito", "fecha_corte"]),
+      "SELECT id_credito, fecha_corte, count(*) AS n FROM {loans} GROUP BY 1, 2 HAVING count(*) > 1")
+query("dq_duplicate_keys_income", "ano:s mes:s n:n total_net:m",
+      lambda t: keys.duplicate_keys(
+          t.income, ["ano", "mes"], {"total_net": F.sum(as_money("utilidad_neta"))}),
+      f"SELECT ano, mes, count(*) AS n, sum({d2('utilidad_neta')}) AS total_net "
+      "FROM {income} GROUP BY 1, 2 HAVING count(*) > 1")
+query("dq_duplicate_keys_balance", "ano:s n:n first_month:s last_month:s",
+      lambda t: keys.duplicate_keys(
+          t.balance, ["ano"],
+          {"first_month": F.min("fecha_mes"), "last_month": F.max("fecha_mes")}),
+      "SELECT ano, count(*) AS n, min(fecha_mes) AS first_month, max(fecha_mes) AS last_month "
+      "FROM {balance} GROUP BY 1 HAVING count(*) > 1")
 query("dq_uniqueness_summary", "rows:n distinct_keys:n diff:n",
       lambda t: keys.uniqueness(t.customers, "id_cliente").withColumnRenamed("distinct", "distinct_keys"),
       "SELECT count(*) AS rows, count(DISTINCT id_cliente) AS distinct_keys, "
