@@ -168,6 +168,17 @@ def fact_balance(balance: DataFrame) -> DataFrame:
     return balance.select(*BALANCE_FACT)
 
 
+def star_credits(
+    fact: DataFrame, customer: DataFrame, rating: DataFrame, product: DataFrame
+) -> DataFrame:
+    """The loan fact with the attributes of its dimensions, for KPIs by any slice."""
+    attributes = customer.drop("id_cliente", "oficial_credito")
+    rated = rating.withColumnRenamed("calificacion", "calificacion_sbs")
+    star = small_lookup(fact, attributes, ["id_cliente_PK"])
+    star = small_lookup(star, rated, ["id_calificacion_sk"], count_on=fact)
+    return small_lookup(star, product, ["id_producto_PK"], count_on=fact)
+
+
 def build_galaxy(raw: RawTables, path: str) -> dict[str, DataFrame]:
     """Rebuild all dimensions and facts as physical tables under ``path``.
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from bankmart.operators.dimension import MONTHS, SHORT_MONTHS
-from bankmart.plans import kpi
+from bankmart.plans import galaxy, kpi
 from catalog.reference import loan_sums
 from catalog.registry import query
 
@@ -95,6 +95,12 @@ for name, by in [("kpi_arrears_rate", "segmento"), ("kpi_arrears_rate_zone", "zo
     query(name, f"{by}:s fecha_mes:s portfolio:m in_arrears:m performing:m arrears_rate:r previous:r diff:r",
           lambda t, by=by: kpi.kpi_arrears_rate(kpi.loan_months(t.mart_credits, [by]), [by]),
           f"SELECT *, value AS arrears_rate FROM ({series(RATE, f'(SELECT *, fecha_corte AS fecha_mes FROM ({loan_sums(f'{by}, fecha_corte')}) s)', by=by)}) z")
+STAR = "producto_crediticio"
+query("kpi_arrears_rate_star", f"{STAR}:s fecha_mes:s portfolio:m in_arrears:m performing:m arrears_rate:r previous:r diff:r",
+      lambda t: kpi.kpi_arrears_rate(kpi.loan_months(galaxy.star_credits(
+          galaxy.fact_credits(t.staged_credits, t.dim_customer, t.dim_rating, t.dim_product),
+          t.dim_customer, t.dim_rating, t.dim_product), [STAR]), [STAR]),
+      f"SELECT *, value AS arrears_rate FROM ({series(RATE, f'(SELECT *, fecha_corte AS fecha_mes FROM ({loan_sums(f"{STAR}, fecha_corte")}) s)', by=STAR)}) z")
 query("kpi_coverage_manual", "fecha_mes:s provisions:m in_arrears:m value:r",
       lambda t: kpi.kpi_coverage_manual(t.loan_months),
       f"SELECT *, {div('provisions', 'in_arrears')} AS value FROM {{loan_months}}")

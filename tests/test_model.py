@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__  # noqa: F401
 from bankmart import schemas as S
 from bankmart.operators import dimension as D
-from bankmart.plans import galaxy as G
+from bankmart.plans import galaxy as G, kpi
 from bankmart.sources import read_raw, stage, staging_root, write_table
 from catalog.registry import Tables
 from tests.frames import rows, text
@@ -103,5 +103,8 @@ def test_galaxy_keeps_row_counts_and_keys(spark, tmp_path):
     coverage = {r["fk"]: r["n_null"] for r in D.fk_coverage(
         built["fact_credits"], ["id_cliente_PK", "id_calificacion_sk", "id_producto_PK"]).collect()}
     assert set(coverage.values()) == {0}
+    star = G.star_credits(built["fact_credits"], built["dim_customer"], built["dim_rating"], built["dim_product"])
+    card = kpi.kpi_scorecard(built["fact_income"], built["fact_balance"], star)
+    assert card.count() == 8 and star.count() == built["fact_credits"].count()
     by_month = built["fact_credits"].where("fecha_corte = date'1998-06-30'")
     assert "PartitionFilters: [isnotnull(fecha_corte" in by_month._jdf.queryExecution().toString()
