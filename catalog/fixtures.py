@@ -167,10 +167,20 @@ GROUP BY mes_fin
 """
 
 
+# Months in which a statement column, part of no total, holds a word instead of a number.
+_WORDS = {"recuperaciones_periodo": "m = 8 AND a % 2 = 0", "activos_ponderados_riesgo": "m = 8 AND a % 2 = 1"}
+
+
 def _text(expr: str) -> str:
     return f"CAST(CAST({expr} AS DECIMAL(18,2)) AS STRING)"
 
 
+def _column(name: str, expr: str) -> str:
+    if name in _WORDS:
+        return f"CASE WHEN {_WORDS[name]} THEN 'n/d' ELSE {_text(expr)} END AS {name}"
+    return f"{_text(expr)} AS {name}"
+
+
 _INCOME = {
     "ing_intereses_cartera": "f", "ing_intereses_inversiones": "l1 * 0.05",
     "ing_intereses_interbancarios": "l2 * 0.05", "ing_comisiones_ganadas": "l3 * 0.05",
@@ -186,7 +196,7 @@ _INCOME = {
     "castigos_periodo": "CASE WHEN m = 11 THEN castigo + 250 ELSE castigo END",
     "recuperaciones_periodo": "recupero",
     "otras_perdidas_operacionales": "l4 * 0.01", "otros_gastos": "l1 * 0.02",
-    "resultado_antes_impuestos": "resultado",
+    "resultado_antes_impuestos": "CASE WHEN m = 5 THEN todo ELSE resultado END",
     "participacion_trabajadores_15pct": "CASE WHEN resultado > 0 AND m <> 3 THEN resultado * 0.15 ELSE 0 END",
     "impuesto_renta_25pct": "CASE WHEN resultado > 0 THEN resultado * 0.20 ELSE 0 END",
 }
@@ -221,7 +231,7 @@ RAW_INCOME = (
     + " FROM (SELECT CAST(mes_fin AS STRING) AS fecha_mes, m,"
     " CAST(CASE WHEN m = 10 THEN 9 ELSE m END AS STRING) AS mes,"
     " CAST(CASE WHEN m = 10 AND a % 2 = 0 THEN a + 1 ELSE a END AS STRING) AS ano, "
-    + ", ".join(f"{_text(expr)} AS {name}" for name, expr in _INCOME.items())
+    + ", ".join(_column(name, expr) for name, expr in _INCOME.items())
     + " FROM {month_sums}) c) t) p"
 )
 
@@ -264,7 +274,7 @@ RAW_BALANCE = (
     " FROM (SELECT t.*, "
     + ", ".join(f"{_text(expr)} AS {name}" for name, expr in _BALANCE_TOTALS.items())
     + " FROM (SELECT CAST(mes_fin AS STRING) AS fecha_mes, m, CAST(m AS STRING) AS mes, CAST(a AS STRING) AS ano, "
-    + ", ".join(f"{_text(expr)} AS {name}" for name, expr in _BALANCE.items())
+    + ", ".join(_column(name, expr) for name, expr in _BALANCE.items())
     + " FROM {month_sums}) t) p"
 )
 
