@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from bankmart import schemas as S
@@ -17,8 +19,6 @@ from catalog.registry import query
 
 def csv_round_trip(t):
     """Write the raw customers as the CSV files a source system delivers, and read them."""
-    import uuid
-
     path = f"{staging_root(t.spark)}/raw-customers-{uuid.uuid4().hex}"
     keep = {"nullValue": "\\N", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     t.customers.select(*S.RAW_COLUMNS["customers"]).write.options(**keep).csv(path, header=True)
@@ -34,8 +34,6 @@ query("mart_view", "segmento:s n:n portfolio:m",
 
 
 def table_rewrite(t):
-    import uuid
-
     path = f"{staging_root(t.spark)}/payments-{uuid.uuid4().hex}"
     typed = t.mart_payments.withColumn("mes", F.last_day("fecha_vencimiento_cuota"))
     return write_table(typed, path, ["mes"]).groupBy("mes").agg(
