@@ -21,6 +21,8 @@ from pyspark.sql.types import StructField, StructType
 
 #: Tokens of a window, and of the history that it repeats at most.
 BUDGET, HISTORY = 1024, 256
+#: Turns tokenised at one time: an encoding takes far more memory than its text.
+AT_ONCE = 100
 OPEN, CLOSE, BREAK = "[INST]", "</s>", "[/INST]"
 #: Strings that a template or a tokenizer gives a meaning. Fixed values.
 CONTROL = ["<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|im_start|>", "<|im_end|>", "<|endoftext|>", "<|startoftext|>", "<unk>", "<pad>"]
@@ -128,7 +130,10 @@ def format_windows(conversations: DataFrame, tokenizer: str, budget: int = BUDGE
         started = False
         for frame in frames:
             turns = [(r, *format_turn(r, t)) for r, t in zip(frame["role"], frame["text"])]
-            sizes = [len(e.ids) for e in model.encode_batch([t[1] for t in turns], add_special_tokens=False)]
+            sizes = []
+            for at in range(0, len(turns), AT_ONCE):
+                part = [t[1] for t in turns[at : at + AT_ONCE]]
+                sizes += [len(e.ids) for e in model.encode_batch_fast(part, add_special_tokens=False)]
             out = []
             for conv, turn, size in zip(frame["conv_id"].tolist(), turns, sizes):
                 conv = None if conv is None or conv != conv else int(conv)
