@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructField, StructType
 
 #: Characters that part words, as a Java regular expression and as text.
@@ -13,6 +13,8 @@ SPACE = r"[\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\x0c\r"
 #: Rows whose texts a Python worker holds as strings at one time.
 ROWS_AT_ONCE = 500
+#: Buckets in which the rows of a class are ranked.
+SPREAD = 64
 
 
 def free_name(df: DataFrame, wish: str) -> str:
@@ -63,14 +65,15 @@ def map_texts(
 
 
 def bounded_labels(labelled: DataFrame, key: str, classes: str, per_class: int, in_all: int) -> DataFrame:
-    """At most ``per_class`` rows of each class and ``in_all`` rows, picked by a hash of the key.
+    """At most ``in_all`` rows, equally many of each class as far as they go, picked by a hash of the key.
 
-    The pick depends on the keys alone, so reruns agree. Only keys and classes are shuffled,
-    and a class that holds most rows is cut before the shuffle (window group limit).
+    The pick depends on the keys alone, so reruns agree. Each class is ranked in ``SPREAD`` hash
+    buckets, from each of which twice its part of ``per_class`` may come, so that a class with
+    most rows is ranked in many tasks. Only keys and classes are shuffled.
     """
-    from pyspark.sql import Window
-
     order = [F.xxhash64(F.lit("pick"), F.col(key)), F.col(key)]
-    place = F.row_number().over(Window.partitionBy(classes).orderBy(*order))
-    ranked = labelled.select(key, classes).withColumn("_place", place).where(F.col("_place") <= per_class)
+    bucket = F.pmod(F.xxhash64(F.lit("bucket"), F.col(key)), F.lit(SPREAD)).alias("_bucket")
+    place = F.row_number().over(Window.partitionBy(classes, "_bucket").orderBy(*order))
+    ranked = labelled.select(key, classes, bucket).withColumn("_place", place)
+    ranked = ranked.where(F.col("_place") <= -(-2 * per_class // SPREAD))
     return ranked.orderBy("_place", *order).limit(in_all).select(key, classes)

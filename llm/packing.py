@@ -53,6 +53,17 @@ class _Encoder(dict):
         return b"".join(map(self.__getitem__, parts)) + END.to_bytes(4, "little")
 
 
+def _encoder(path: str) -> _Encoder:
+    """One per worker process with all it remembers. Tasks get this module's functions by value,
+    so what outlives a task is kept on the tokenizer library's module."""
+    import tokenizers
+
+    known = tokenizers.__dict__.setdefault("_worker_encoders", {})
+    if path not in known:
+        known[path] = _Encoder(path)
+    return known[path]
+
+
 def best_fit(lengths: np.ndarray, size: int = SEQUENCE) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """Best fit, longest first, ties in given order: bin and offset of each item, bin fills.
 
@@ -100,7 +111,7 @@ def _pack_texts(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, task = _Encoder(path), TaskContext.get().partitionId()
+        encoder, task = _encoder(path), TaskContext.get().partitionId()
         next_bin = task << 32
         ids, piece, start, length, crc = [], [], [], [], []
 
