@@ -54,58 +54,57 @@ def parse(formatted: str) -> list[tuple[str, str, int, int]]:
 
 @dataclass
 class _Windows:
-    """Windows of one conversation, as its turns come in."""
+    """Windows of one conversation, as its turns come in.
+
+    A turn is role, formatted text, begin, end, tokens. ``held`` is the sum of tokens of the
+    window so far: the system turn, the repeated history and the new turns.
+    """
 
     conv: int | None
+    budget: int
+    history: int
     system: tuple | None = None
+    again: list[tuple] = field(default_factory=list)
     new: list[tuple] = field(default_factory=list)
-    past: list[tuple] = field(default_factory=list)
     number: int = 0
-    sum_new: int = 0
-    turns: int = 0
-
-    def add(self, turn: tuple, budget: int, history: int) -> dict | None:
-        """``turn``: role, formatted, begin, end, tokens. Returns the window it completes, if any."""
-        self.turns += 1
-        if self.turns == 1 and turn[0] == "system":
-            self.system = turn
-            self.new = [turn]
-            self.sum_new = turn[4]
+    held: int = 0
+
+    def add(self, turn: tuple) -> dict | None:
+        """Takes a turn; returns the window that it completes, if any."""
+        if not self.number and not self.new and self.system is None and turn[0] == "system":
+            self.system, self.held = turn, turn[4]
             return None
-        base = self.system[4] if self.system and self.number else 0
-        out = None
-        own = len(self.new) - (self.system is not None and not self.number)
-        if own > 0 and base + self.sum_new + turn[4] > budget:
-            out = self.close(budget, history)
-            self.number += 1
-            self.new, self.sum_new = [], 0
+        done = None
+        if self.new and self.held + turn[4] > self.budget:
+            done = self.close()
+            self._next()
+        if not self.new:
+            # The first new turn goes before the oldest history.
+            while self.again and self.held + turn[4] > self.budget:
+                self.held -= self.again.pop(0)[4]
         self.new.append(turn)
-        self.sum_new += turn[4]
-        return out
-
-    def close(self, budget: int, history: int) -> dict:
-        head = [self.system] if self.system and self.number else []
-        used = sum(t[4] for t in head) + self.sum_new
-        again: list[tuple] = []
-        kept = 0
-        for t in reversed(self.past):
-            if kept + t[4] > history or used + kept + t[4] > budget:
+        self.held += turn[4]
+        return done
+
+    def _next(self) -> None:
+        recent, kept = 0, []
+        for t in reversed([*self.again, *self.new]):
+            if recent + t[4] > self.history:
                 break
-            kept += t[4]
-            again.insert(0, t)
+            recent += t[4]
+            kept.insert(0, t)
+        self.again, self.new, self.number = kept, [], self.number + 1
+        self.held = recent + (self.system[4] if self.system else 0)
+
+    def close(self) -> dict:
+        head = [self.system] if self.system else []
+        repeated = len(self.again) + len(head) * (self.number > 0)
         spans, text = [], ""
-        for k, t in enumerate([*head, *again, *self.new]):
-            if k >= len(head) + len(again) and t[0] == "assistant":
+        for k, t in enumerate([*head, *self.again, *self.new]):
+            if k >= repeated and t[0] == "assistant":
                 spans.append([len(text) + t[2], len(text) + t[3]])
             text += t[1]
-        # Enough recent turns for the next window's history.
-        self.past, recent = [], 0
-        for t in reversed([*again, *(t for t in self.new if t is not self.system)]):
-            if recent + t[4] > history:
-                break
-            recent += t[4]
-            self.past.insert(0, t)
-        return {"conv_id": self.conv, "window": self.number, "text": text, "loss_spans": spans, "repeated": len(head) + len(again), "tokens": used + kept}
+        return {"conv_id": self.conv, "window": self.number, "text": text, "loss_spans": spans, "repeated": repeated, "tokens": self.held}
 
 
 def format_windows(conversations: DataFrame, tokenizer: str, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
@@ -139,14 +138,14 @@ def format_windows(conversations: DataFrame, tokenizer: str, budget: int = BUDGE
                 conv = None if conv is None or conv != conv else int(conv)
                 if not started or conv != current.conv:
                     if started:
-                        out.append(current.close(budget, history))
-                    current, started = _Windows(conv), True
-                if done := current.add((*turn, size), budget, history):
+                        out.append(current.close())
+                    current, started = _Windows(conv, budget, history), True
+                if done := current.add((*turn, size)):
                     out.append(done)
             if out:
                 yield pd.DataFrame(out).astype({"conv_id": "Int64"})
         if started:
-            yield pd.DataFrame([current.close(budget, history)]).astype({"conv_id": "Int64"})
+            yield pd.DataFrame([current.close()]).astype({"conv_id": "Int64"})
 
     return rows.mapInPandas(run, schema)
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -30,27 +31,48 @@ CARRY, FAN_IN = 256, 32
 CHUNK = 400_000
 #: Text chunks whose ids a worker remembers.
 CACHE = 600_000
+MARKS = tuple(".,;:!?")
 
 
 class _Encoder(dict):
-    """Text between blanks to its ids as little-endian bytes. The tokenizer drops white space
-    and no token reaches across it, so a text's ids are those of its parts."""
+    """Lower-case text between blanks to its ids as little-endian bytes.
+
+    The tokenizer drops white space, and no token reaches across it, nor from letters to a mark
+    behind them: a text's ids are those of its parts. Plain words skip the steps that leave
+    them as they are. Texts for which lower-casing first might differ are encoded whole.
+    """
 
     def __init__(self, path: str):
         super().__init__()
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.model = Tokenizer.from_file(path)
+        self.model, self.bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.bare.normalizer = normalizers.Sequence([])
+        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
 
     def __missing__(self, part: str) -> bytes:
-        self[part] = ids = np.array(self.model.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+        if part[-1:] in MARKS and part[:-1].isalpha():
+            ids = self[part[:-1]] + self[part[-1]]
+        else:
+            plain = part.isalpha() and max(part) < "\u0600"
+            ids = self._encode(self.bare if plain else self.model, part)
+        self[part] = ids
         return ids
 
+    @staticmethod
+    def _encode(model, text: str) -> bytes:
+        return np.array(model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def ids(self, text: str | None) -> bytes:
+        text = text or ""
+        low = text.lower()
+        end = END.to_bytes(4, "little")
+        if "<|" in text or "\u03a3" in text or not (is_normalized("NFC", text) and is_normalized("NFC", low)):
+            return self._encode(self.model, text) + end
         if len(self) > CACHE:
             self.clear()
-        parts = (text or "").replace("\n", " ").replace("\t", " ").split(" ")
-        return b"".join(map(self.__getitem__, parts)) + END.to_bytes(4, "little")
+        parts = low.replace("\n", " ").replace("\t", " ").split(" ")
+        return b"".join(map(self.__getitem__, parts)) + end
 
 
 def _encoder(path: str) -> _Encoder:

@@ -209,10 +209,10 @@ def fit(rows: DataFrame, group: str, x: list[str]) -> DataFrame:
     return params
 
 
-def judge(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` with the structs ``_stats`` and ``_verdict``.
+def judge(docs: DataFrame, text: str, keep: list[str]) -> tuple[DataFrame, str, str]:
+    """Columns ``keep`` of ``docs`` with two structs, and the names of these.
 
-    ``_verdict`` has ``base_failed``, ``distance`` and ``kept``. Small groups share the
+    The first has the statistics, the second ``base_failed``, ``distance`` and ``kept``. Small groups share the
     estimates of their language's other small groups, then those of all small groups; if even
     these are under ``LEAST_ROWS`` documents, nothing is called an outlier. Documents that fail the
     base rules are rejected anyway and take no part in the estimates.
@@ -242,7 +242,7 @@ def judge(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
     cut = chi_square_limit(1 - TAIL, P)
     kept = ~bad & ~F.coalesce(d2 > cut, F.lit(False))
     found = F.struct(bad.alias("base_failed"), F.sqrt(d2).alias("distance"), kept.alias("kept"))
-    return out.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{stats}`").alias("_stats"), found.alias(verdict)).withColumnRenamed(verdict, "_verdict")
+    return out.select(*[F.col(f"`{c}`") for c in keep], stats, found.alias(verdict)), stats, verdict
 
 
 def quality_report(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -253,12 +253,14 @@ def quality_report(docs: DataFrame, text: str = "text") -> DataFrame:
     repeated rows do too. An empty table gives no rows. Other columns are not read.
     """
     have = [c for c in docs.columns if c.lower() in {"doc_id", "lang", "source", text.lower()}]
-    s, v = F.col("_stats"), F.col("_verdict")
+    out, stats, verdict = judge(docs.select(*have), text, ["doc_id"])
+    s, v = F.col(stats), F.col(verdict)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return judge(docs.select(*have), text, ["doc_id"]).select("doc_id", *[s[n].alias(n) for n in names], v["base_failed"].alias("base_failed"), v["kept"].alias("kept"), v["distance"].alias("distance"))
+    return out.select("doc_id", *[s[n].alias(n) for n in names], v["base_failed"].alias("base_failed"), v["kept"].alias("kept"), v["distance"].alias("distance"))
 
 
 def quality_filter(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents that pass, with all their columns. Cases as in ``quality_report``."""
     columns = docs.columns
-    return judge(docs, text, columns).where(F.col("_verdict")["kept"]).select(*[F.col(f"`{c}`") for c in columns])
+    out, _, verdict = judge(docs, text, columns)
+    return out.where(F.col(verdict)["kept"]).select(*[F.col(f"`{c}`") for c in columns])
