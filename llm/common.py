@@ -12,7 +12,7 @@ from pyspark.sql.types import StructField, StructType
 SPACE = r"[\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\x0c\r"
 #: Rows whose texts a Python worker holds as strings at one time.
-ROWS_AT_ONCE = 500
+ROWS_AT_ONCE = 200
 #: Buckets in which the rows of a class are ranked.
 SPREAD = 64
 

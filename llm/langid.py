@@ -24,7 +24,7 @@ LEAST = 2
 #: Most words and most n-grams of the model, by frequency: bound of the broadcast.
 MAX_WORDS, MAX_GRAMS = 150_000, 100_000
 LENGTHS = (5, 4, 3, 2, 1)
-CACHE = 400_000
+CACHE = 150_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 

@@ -30,7 +30,7 @@ CARRY, FAN_IN = 256, 32
 #: Pieces that a task packs at one time.
 CHUNK = 400_000
 #: Text chunks whose ids a worker remembers.
-CACHE = 600_000
+CACHE = 200_000
 MARKS = tuple(".,;:!?")
 
 
@@ -75,17 +75,6 @@ class _Encoder(dict):
         return b"".join(map(self.__getitem__, parts)) + end
 
 
-def _encoder(path: str) -> _Encoder:
-    """One per worker process with all it remembers. Tasks get this module's functions by value,
-    so what outlives a task is kept on the tokenizer library's module."""
-    import tokenizers
-
-    known = tokenizers.__dict__.setdefault("_worker_encoders", {})
-    if path not in known:
-        known[path] = _Encoder(path)
-    return known[path]
-
-
 def best_fit(lengths: np.ndarray, size: int = SEQUENCE) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """Best fit, longest first, ties in given order: bin and offset of each item, bin fills.
 
@@ -133,7 +122,7 @@ def _pack_texts(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, task = _encoder(path), TaskContext.get().partitionId()
+        encoder, task = _Encoder(path), TaskContext.get().partitionId()
         next_bin = task << 32
         ids, piece, start, length, crc = [], [], [], [], []
 
@@ -149,8 +138,8 @@ def _pack_texts(docs: DataFrame, path: str) -> DataFrame:
             return pa.RecordBatch.from_arrays(out, names=names)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                rows = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 200):
+                rows = batch.slice(at, 200)
                 doc, which = rows.column(0), []
                 for k, text in enumerate(rows.column(1).to_pylist()):
                     data = memoryview(encoder.ids(text))

@@ -28,7 +28,7 @@ ALPHA, BETA, L1, L2 = 0.5, 1.0, 12.0, 0.0
 #: Passes over the sample: as many as make so many steps, within these limits.
 UPDATES, LEAST_PASSES, MOST_PASSES = 40_000, 3, 40
 #: Words whose hashes a worker remembers.
-CACHE = 400_000
+CACHE = 150_000
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
