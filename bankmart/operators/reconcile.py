@@ -63,15 +63,14 @@ def attribute_mismatch(
     key: str = "id_credito",
     left_value: str = "cuota_pactada",
     right_value: str = "cuota_mensual",
-    form: str = "pairs",
+    form: str = "summary",
 ) -> DataFrame:
     """Values of the same attribute that differ between two tables for the same key.
 
-    ``form='pairs'`` is the audit's own result, each differing pair of distinct values
-    once; a hot key is spread over many tasks. A loan has one right value per cutoff, so
-    the pairs grow with the number of months. Where keys carry many values on both sides,
-    ``form='summary'`` stays linear: one row per (key, left value) with the number and
-    range of the right values that contradict it.
+    ``form='summary'`` is linear: one row per (key, left value) with the number and range of
+    the right values that contradict it. ``form='pairs'`` lists each differing pair of
+    distinct values once; a hot key is spread over many tasks. A loan has one right value
+    per cutoff, so the pairs grow with the number of months.
     """
     left = payments.select(key, as_money(left_value).alias(left_value)).distinct()
     right = loans.select(key, as_money(right_value).alias(right_value)).distinct()

@@ -74,10 +74,11 @@ def loan_months(
 ) -> DataFrame:
     """Monthly loan sums per slice, taken in one pass over the fact.
 
-    ``date_col`` chooses the date role: the cutoff (default) or, for instance, the
-    disbursement date.
+    ``date_col`` chooses the date role: the cutoff (default), which is a month-end as it
+    stands, or another date, such as the disbursement, which counts for its month-end.
     """
-    return credits.groupBy(*by, F.col(date_col).alias(MONTH)).agg(*loan_sums(rating_col))
+    month = F.col(date_col) if date_col == "fecha_corte" else F.last_day(date_col)
+    return credits.groupBy(*by, month.alias(MONTH)).agg(*loan_sums(rating_col))
 
 
 INCOME_SUMS = [

@@ -54,7 +54,8 @@ query("kpi_portfolio_by_rating_last_month", "segmento:s fecha_mes:s portfolio:m
       "WHERE fecha_corte = (SELECT max(fecha_mes) FROM {mart_income})")
 query("kpi_portfolio_by_disbursement", "fecha_mes:s portfolio:m in_arrears:m performing:m",
       lambda t: kpi.loan_months(t.mart_credits, date_col="fecha_desembolso"),
-      f"SELECT fecha_desembolso AS fecha_mes, portfolio, in_arrears, performing FROM ({loan_sums('fecha_desembolso')}) s")
+      "SELECT month AS fecha_mes, portfolio, in_arrears, performing FROM ("
+      + loan_sums("month", "(SELECT last_day(fecha_desembolso) AS month, * FROM {mart_credits})") + ") s")
 
 # --- profitability -----------------------------------------------------------------------
 

@@ -49,6 +49,14 @@ query("row_count_check_payments", "n_before:n n_after:n diff:n",
       lambda t: row_count_check(
           t.mart_payments, G.fact_payments(t.mart_payments, t.dim_customer, t.dim_rating, t.dim_state)),
       "SELECT b AS n_before, a AS n_after, a - b AS diff FROM (SELECT (SELECT count(*) FROM {mart_payments}) AS b, (SELECT count(*) FROM {fact_payments}) AS a) x")
+query("row_count_check_customers", "n_before:n n_after:n diff:n",
+      lambda t: row_count_check(
+          t.mart_customers, G.fact_customers(t.mart_customers, t.dim_customer, t.dim_status, t.dim_rating)),
+      "SELECT b AS n_before, a AS n_after, a - b AS diff FROM (SELECT (SELECT count(*) FROM {mart_customers}) AS b, (SELECT count(*) FROM {fact_customers}) AS a) x")
+query("row_count_check_credits", "n_before:n n_after:n diff:n",
+      lambda t: row_count_check(
+          t.staged_credits, G.fact_credits(t.staged_credits, t.dim_customer, t.dim_rating, t.dim_product)),
+      "SELECT b AS n_before, a AS n_after, a - b AS diff FROM (SELECT (SELECT count(*) FROM {mart_credits}) AS b, (SELECT count(*) FROM {fact_credits}) AS a) x")
 
 # --- dimensions --------------------------------------------------------------------------
 
@@ -107,6 +115,16 @@ for role in ("fecha_desembolso", "fecha_vencimiento", "fecha_corte"):
               t.mart_credits, D.calendar_of(t.mart_credits, role), role, "ano_mes",
               {"portfolio": F.col("saldo_capital")}),
           f"SELECT strftime({role}, '%Y-%m') AS ano_mes, sum(saldo_capital) AS portfolio FROM {{mart_credits}} GROUP BY 1")
+for table, role, measure in (
+    ("mart_payments", "fecha_pago_real", "monto_pagado"),
+    ("mart_payments", "fecha_vencimiento_cuota", "monto_pagado"),
+    ("mart_customers", "fecha_primer_credito", "saldo_total_deuda"),
+):
+    query(f"role_date_join_{role}", "ano_mes:s amount:m",
+          lambda t, table=table, role=role, measure=measure: D.role_date_sum(
+              getattr(t, table), D.calendar_of(getattr(t, table), role), role, "ano_mes",
+              {"amount": F.col(measure)}),
+          f"SELECT strftime({role}, '%Y-%m') AS ano_mes, sum({measure}) AS amount FROM {{{table}}} WHERE {role} IS NOT NULL GROUP BY 1")
 query("fk_coverage", "fk:s rows:n n_null:n null_share:r",
       lambda t: D.fk_coverage(
           G.fact_payments(t.mart_payments, t.dim_customer, t.dim_rating, t.dim_state),

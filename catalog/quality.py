@@ -100,20 +100,33 @@ query("dq_duplicate_keys", "id_pago:s n:n loan_seen:s instalment_seen:s",
           {"loan_seen": F.max("id_credito"), "instalment_seen": F.max("numero_cuota")}),
       "SELECT id_pago, count(*) AS n, max(id_credito) AS loan_seen, max(numero_cuota) AS "
       "instalment_seen FROM {payments} GROUP BY id_pago HAVING count(*) > 1")
+# Variants in which part of the rows occurs again, so that the audits have something to find.
+AGAIN = {"loans": "fecha_corte LIKE '%-12-31' AND id_credito LIKE '%7'", "income": "fecha_mes LIKE '%-12-31'", "balance": "fecha_mes LIKE '%-06-30'"}
+
+
+def repeated(t, table: str):
+    rows = getattr(t, table)
+    return rows.unionByName(rows.where(AGAIN[table]))
+
+
+def repeated_sql(table: str) -> str:
+    return f"(SELECT * FROM {{{table}}} UNION ALL SELECT * FROM {{{table}}} WHERE {AGAIN[table]}) again"
+
+
 query("dq_duplicate_keys_loans", "id_credito:s fecha_corte:s n:n",
-      lambda t: keys.duplicate_keys(t.loans, ["id_credito", "fecha_corte"]),
-      "SELECT id_credito, fecha_corte, count(*) AS n FROM {loans} GROUP BY 1, 2 HAVING count(*) > 1")
-query("dq_duplicate_keys_income", "ano:s mes:s n:n total_net:m",
+      lambda t: keys.duplicate_keys(repeated(t, "loans"), ["id_credito", "fecha_corte"]),
+      f"SELECT id_credito, fecha_corte, count(*) AS n FROM {repeated_sql('loans')} GROUP BY 1, 2 HAVING count(*) > 1")
+query("dq_duplicate_keys_income", "fecha_mes:s n:n total_net:m",
       lambda t: keys.duplicate_keys(
-          t.income, ["ano", "mes"], {"total_net": F.sum(as_money("utilidad_neta"))}),
-      f"SELECT ano, mes, count(*) AS n, sum({d2('utilidad_neta')}) AS total_net "
-      "FROM {income} GROUP BY 1, 2 HAVING count(*) > 1")
-query("dq_duplicate_keys_balance", "ano:s n:n first_month:s last_month:s",
+          repeated(t, "income"), ["fecha_mes"], {"total_net": F.sum(as_money("utilidad_neta"))}),
+      f"SELECT fecha_mes, count(*) AS n, sum({d2('utilidad_neta')}) AS total_net "
+      f"FROM {repeated_sql('income')} GROUP BY 1 HAVING count(*) > 1")
+query("dq_duplicate_keys_balance", "fecha_mes:s n:n first_year:s last_year:s",
       lambda t: keys.duplicate_keys(
-          t.balance, ["ano"],
-          {"first_month": F.min("fecha_mes"), "last_month": F.max("fecha_mes")}),
-      "SELECT ano, count(*) AS n, min(fecha_mes) AS first_month, max(fecha_mes) AS last_month "
-      "FROM {balance} GROUP BY 1 HAVING count(*) > 1")
+          repeated(t, "balance"), ["fecha_mes"],
+          {"first_year": F.min("ano"), "last_year": F.max("ano")}),
+      "SELECT fecha_mes, count(*) AS n, min(ano) AS first_year, max(ano) AS last_year "
+      f"FROM {repeated_sql('balance')} GROUP BY 1 HAVING count(*) > 1")
 query("dq_uniqueness_summary", "rows:n distinct_keys:n diff:n",
       lambda t: keys.uniqueness(t.customers, "id_cliente").withColumnRenamed("distinct", "distinct_keys"),
       "SELECT count(*) AS rows, count(DISTINCT id_cliente) AS distinct_keys, "
@@ -381,13 +394,13 @@ query("dq_negative_context", "fecha_mes:s " + " ".join(f"{c}:m" for c in NEGATIV
 # --- payments ----------------------------------------------------------------------------
 
 query("dq_attribute_mismatch", "id_credito:s cuota_mensual:m cuota_pactada:m",
-      lambda t: reconcile.attribute_mismatch(t.payments, t.loans),
+      lambda t: reconcile.attribute_mismatch(t.payments, t.loans, form="pairs"),
       f"SELECT p.id_credito, cuota_mensual, cuota_pactada FROM (SELECT DISTINCT id_credito, {d2('cuota_pactada')} "
       f"AS cuota_pactada FROM {{payments}}) p JOIN (SELECT DISTINCT id_credito, {d2('cuota_mensual')} AS cuota_mensual "
       "FROM {loans}) l ON p.id_credito = l.id_credito WHERE cuota_mensual <> cuota_pactada")
 query("dq_attribute_mismatch_summary",
       "id_credito:s cuota_pactada:m n_differing:n right_min:m right_max:m",
-      lambda t: reconcile.attribute_mismatch(t.payments, t.loans, form="summary"),
+      lambda t: reconcile.attribute_mismatch(t.payments, t.loans),
       f"SELECT p.id_credito, cuota_pactada, count(*) FILTER (WHERE cuota_mensual <> cuota_pactada) AS n_differing, "
       f"min(cuota_mensual) AS right_min, max(cuota_mensual) AS right_max FROM (SELECT DISTINCT id_credito, "
       f"{d2('cuota_pactada')} AS cuota_pactada FROM {{payments}}) p JOIN (SELECT DISTINCT id_credito, "

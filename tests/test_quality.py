@@ -139,9 +139,9 @@ def test_mismatch_summary_agrees_with_pairs(spark):
     paid = text(spark, "id_credito cuota_pactada", ("a", "1"), ("a", "2"), ("a", "2"), ("b", "5"), (None, "1"))
     panel = loans(spark, {"id_credito": "a", "cuota_mensual": "1"}, {"id_credito": "a", "cuota_mensual": "3"},
                   {"id_credito": "b", "cuota_mensual": "5"})
-    pairs = rows(reconcile.attribute_mismatch(paid, panel))
+    pairs = rows(reconcile.attribute_mismatch(paid, panel, form="pairs"))
     assert sorted((k, int(r), int(v)) for k, r, v in pairs) == [("a", 1, 2), ("a", 3, 1), ("a", 3, 2)]
-    summary = rows(reconcile.attribute_mismatch(paid, panel, form="summary"))
+    summary = rows(reconcile.attribute_mismatch(paid, panel))
     assert sorted((k, int(v), n) for k, v, n, _, _ in summary) == [("a", 1, 1), ("a", 2, 2)]
 
 
