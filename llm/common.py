@@ -59,6 +59,9 @@ def map_texts(
                 new = compute(rows.column(read.index(text)).to_pylist())
                 old = [rows.column(i) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*old, *new], names=names)
+        # The worker lives on for other stages: give back what this task held.
+        compute = None
+        pa.default_memory_pool().release_unused()
 
     schema = StructType([*[df.schema[c] for c in keep], *added])
     return df.select(*[F.col(f"`{c}`") for c in read]).mapInArrow(run, schema)
