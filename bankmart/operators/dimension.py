@@ -18,6 +18,15 @@ SHORT_MONTHS = [
 ]
 
 
+def closed_domain_key(df: DataFrame, order: Sequence[str], key: str) -> DataFrame:
+    """Dense 1..n key of a dimension whose values come from a catalogue: a few ratings,
+    products or states. The window sees distinct values only; for dimensions that grow with
+    the customers there is ``surrogate_key``, which numbers in the same order.
+    """
+    place = F.row_number().over(Window.orderBy(*[F.asc_nulls_first(c) for c in order]))
+    return df.select(place.cast("long").alias(key), *df.columns)
+
+
 def surrogate_key(df: DataFrame, order: Sequence[str], key: str) -> DataFrame:
     """Add a dense 1..n key in the given order without sorting everything in one task.
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
-from bankmart.operators.dimension import surrogate_key, top1_per_key
-from bankmart.operators.joins import small_lookup
+from bankmart.operators.dimension import (
+    calendar_of, closed_domain_key, surrogate_key, top1_per_key,
+)
+from bankmart.operators.joins import lookup
 from bankmart.operators.rollup import latest_per_key
 from bankmart.plans.marts import build_marts
 from bankmart.schemas import CUSTOMER_KEYS, LOAN_TYPES
@@ -73,7 +78,7 @@ def dim_customer(credits: DataFrame, latest_only: bool = False) -> DataFrame:
 
 def dim_status(customers: DataFrame) -> DataFrame:
     flags = ["es_cliente_preferente", "tiene_credito_en_mora"]
-    return surrogate_key(customers.select(*flags).distinct(), flags, "id_status_t5")
+    return closed_domain_key(customers.select(*flags).distinct(), flags, "id_status_t5")
 
 
 def rating_domain(credits: DataFrame, customers: DataFrame, payments: DataFrame) -> DataFrame:
@@ -94,17 +99,27 @@ def rating_domain(credits: DataFrame, customers: DataFrame, payments: DataFrame)
 
 def dim_rating(credits: DataFrame, customers: DataFrame, payments: DataFrame) -> DataFrame:
     domain = rating_domain(credits, customers, payments)
-    return surrogate_key(domain, ["calificacion"], "id_calificacion_sk")
+    return closed_domain_key(domain, ["calificacion"], "id_calificacion_sk")
 
 
 def dim_product(credits: DataFrame) -> DataFrame:
     pair = ["producto_crediticio", "tipo_garantia"]
-    return surrogate_key(credits.select(*pair).distinct(), pair, "id_producto_PK")
+    return closed_domain_key(credits.select(*pair).distinct(), pair, "id_producto_PK")
 
 
 def dim_payment_state(payments: DataFrame) -> DataFrame:
     pair = ["estado_pago", "canal_pago"]
-    return surrogate_key(payments.select(*pair).distinct(), pair, "id_estado_PK")
+    return closed_domain_key(payments.select(*pair).distinct(), pair, "id_estado_PK")
+
+
+def dim_calendar(facts: Iterable[DataFrame]) -> DataFrame:
+    """Calendar over the whole years of every date column of the facts."""
+    ends = []
+    for fact in facts:
+        dates = [c for c, kind in fact.dtypes if kind == "date"]
+        both = F.array(*[end(c) for c in dates for end in (F.min, F.max)])
+        ends.append(fact.agg(both.alias("_ends")).select(F.explode("_ends").alias("fecha")))
+    return calendar_of(reduce(DataFrame.unionAll, ends), "fecha")
 
 
 # --- facts -------------------------------------------------------------------------------
@@ -112,13 +127,14 @@ def dim_payment_state(payments: DataFrame) -> DataFrame:
 def fact_credits(
     credits: DataFrame, customer: DataFrame, rating: DataFrame, product: DataFrame
 ) -> DataFrame:
-    """Loan rows at (credit, cutoff) grain with three dimension keys."""
+    """Loan rows at (credit, cutoff) grain with three dimension keys.
+
+    Only the customer dimension grows with the bank. The others have closed domains: the
+    optimizer broadcasts them by the size of the written table.
+    """
     rated = rating.withColumnRenamed("calificacion", "calificacion_sbs")
-    keyed = small_lookup(credits, customer, CUSTOMER_KEYS)
-    keyed = small_lookup(keyed, rated, ["calificacion_sbs"], count_on=credits)
-    keyed = small_lookup(
-        keyed, product, ["producto_crediticio", "tipo_garantia"], count_on=credits
-    )
+    keyed = lookup(credits, customer, CUSTOMER_KEYS).join(rated, "calificacion_sbs", "left")
+    keyed = keyed.join(product, ["producto_crediticio", "tipo_garantia"], "left")
     columns = [c for c in LOAN_TYPES if c not in LOAN_ATTRIBUTES]
     return keyed.select(
         *columns[:3], "id_cliente_PK", "id_calificacion_sk", "id_producto_PK", *columns[3:]
@@ -140,24 +156,22 @@ def fact_payments(
 ) -> DataFrame:
     """Payment rows with rating, state and the best matching customer key."""
     rated = rating.withColumnRenamed("calificacion", "calificacion_al_pago")
-    keyed = small_lookup(
+    keyed = lookup(
         payments, best_customer(customer),
         ["id_cliente", "segmento", "zona_geografica", "oficial_credito"],
     )
-    keyed = small_lookup(keyed, rated, ["calificacion_al_pago"], count_on=payments)
-    keyed = small_lookup(keyed, state, ["estado_pago", "canal_pago"], count_on=payments)
-    return keyed.select(*PAYMENT_FACT)
+    keyed = keyed.join(rated, "calificacion_al_pago", "left")
+    return keyed.join(state, ["estado_pago", "canal_pago"], "left").select(*PAYMENT_FACT)
 
 
 def fact_customers(
     customers: DataFrame, customer: DataFrame, status: DataFrame, rating: DataFrame
 ) -> DataFrame:
+    """Customer rows with three dimension keys. No key is hot: a customer is one row."""
     rated = rating.withColumnRenamed("calificacion", "calificacion_consolidada")
-    keyed = small_lookup(customers, customer, CUSTOMER_KEYS)
     flags = ["es_cliente_preferente", "tiene_credito_en_mora"]
-    keyed = small_lookup(keyed, status, flags, count_on=customers)
-    keyed = small_lookup(keyed, rated, ["calificacion_consolidada"], count_on=customers)
-    return keyed.select(*CUSTOMER_FACT)
+    keyed = customers.join(customer, CUSTOMER_KEYS, "left").join(status, flags, "left")
+    return keyed.join(rated, "calificacion_consolidada", "left").select(*CUSTOMER_FACT)
 
 
 def fact_income(income: DataFrame) -> DataFrame:
@@ -174,16 +188,17 @@ def star_credits(
     """The loan fact with the attributes of its dimensions, for KPIs by any slice."""
     attributes = customer.drop("id_cliente", "oficial_credito")
     rated = rating.withColumnRenamed("calificacion", "calificacion_sbs")
-    star = small_lookup(fact, attributes, ["id_cliente_PK"])
-    star = small_lookup(star, rated, ["id_calificacion_sk"], count_on=fact)
-    return small_lookup(star, product, ["id_producto_PK"], count_on=fact)
+    star = lookup(fact, attributes, ["id_cliente_PK"])
+    return star.join(rated, "id_calificacion_sk", "left").join(product, "id_producto_PK", "left")
 
 
 def build_galaxy(raw: RawTables, path: str) -> dict[str, DataFrame]:
     """Rebuild all dimensions and facts as physical tables under ``path``.
 
     Cleaned tables that feed several dimensions are written once. Dimensions are written
-    before the facts that look them up, so their measured size decides the join.
+    before the facts that look them up, so their measured size decides the join. The
+    calendar spans the years of all facts. Loans are partitioned by cutoff, payments by due
+    month (``mes_vencimiento``).
     """
     marts = build_marts(raw)
     credits = stage(marts["credits"], "mart_credits")
@@ -201,8 +216,11 @@ def build_galaxy(raw: RawTables, path: str) -> dict[str, DataFrame]:
     product = save("dim_product", dim_product(credits))
     state = save("dim_payment_state", dim_payment_state(payments))
     save("fact_credits", fact_credits(credits, customer, rating, product), ["fecha_corte"])
-    save("fact_payments", fact_payments(payments, customer, rating, state))
+    due = F.last_day("fecha_vencimiento_cuota")
+    paid = fact_payments(payments, customer, rating, state).withColumn("mes_vencimiento", due)
+    save("fact_payments", paid, ["mes_vencimiento"])
     save("fact_customers", fact_customers(customers, customer, status, rating))
     save("fact_income", fact_income(marts["income"]))
     save("fact_balance", fact_balance(marts["balance"]))
+    save("dim_calendar", dim_calendar([df for name, df in out.items() if name.startswith("fact_")]))
     return out

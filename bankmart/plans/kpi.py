@@ -401,7 +401,9 @@ def scorecard_series(
     All monthly values come from one joined table with a row per month; the KPIs are laid
     out side by side and unpivoted, so no fact is scanned once per KPI.
     """
-    loans = loan_months(credits).select(MONTH, "portfolio", "provisions")
+    loans = credits.groupBy(F.col("fecha_corte").alias(MONTH)).agg(
+        F.sum("saldo_capital").alias("portfolio"), F.sum("provision_constituida").alias("provisions")
+    )
     months = bank_months(income, balance).join(loans, MONTH, "left")
     order = _by_month(())
     assets = F.coalesce(productive_assets(), F.lit(0))
@@ -442,8 +444,21 @@ def kpi_scorecard(
     income: DataFrame, balance: DataFrame, credits: DataFrame, as_of_month=None,
     cost_mode: str = "month",
 ) -> DataFrame:
-    """Scorecard of one month, the last income month unless another is given."""
-    series = scorecard_series(income, balance, credits, cost_mode)
-    if as_of_month is None:
-        return at_last_month(series, income)
-    return series.where(F.col(MONTH) == F.lit(as_of_month).cast("date"))
+    """Scorecard of one month, the last income month unless another is given.
+
+    A card needs its month, the month before and, for the mean assets of that one, a third,
+    so only their partitions of the facts are read. ``cost_mode='average'`` takes the mean
+    portfolio so far and reads all months before. Rows without a month are on no card.
+    """
+    last = as_of(income).scalar() if as_of_month is None else F.lit(as_of_month).cast("date")
+    known = income.where(F.col(MONTH) <= last).select(MONTH).distinct()
+    first = known.orderBy(F.desc(MONTH)).limit(3).agg(F.min(MONTH)).scalar()
+
+    def needed(df: DataFrame, month: str) -> DataFrame:
+        upto = df.where(F.col(month) <= last)
+        return upto if cost_mode == "average" else upto.where(F.col(month) >= first)
+
+    series = scorecard_series(
+        needed(income, MONTH), needed(balance, MONTH), needed(credits, "fecha_corte"), cost_mode
+    )
+    return series.where(F.col(MONTH) == last)

@@ -30,13 +30,14 @@ def read_raw(
 ) -> DataFrame:
     """Load one raw table with its fixed columns as text.
 
-    CSV keeps empty cells distinct from missing ones; Parquet columns of other types are
-    cast to text. ``empty_as_null`` turns empty text into NULL on the way in.
+    CSV keeps empty cells distinct from missing ones, and a header in another order than the
+    fixed columns is an error; Parquet columns of other types are cast to text. ``empty_as_null`` turns empty text into NULL on the way in.
     """
     schema = text_schema(table)
     if fmt == "csv":
         reader = spark.read.schema(schema).options(
-            header=True, encoding="UTF-8", nullValue="\\N", emptyValue="", mode="PERMISSIVE"
+            header=True, encoding="UTF-8", nullValue="\\N", emptyValue="", mode="PERMISSIVE",
+            enforceSchema=False,
         )
         df = reader.csv(path)
     else:

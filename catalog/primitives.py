@@ -10,7 +10,7 @@ from bankmart.functions import (
 )
 from bankmart.operators import domains, keys, profile, reconcile, rollup
 from bankmart.operators.dimension import with_calendar_parts
-from bankmart.operators.joins import hot_keys, lookup, small_lookup
+from bankmart.operators.joins import hot_keys, lookup
 from bankmart.plans import galaxy, kpi
 from catalog.kpis import LONG, SHORT
 from catalog.registry import query
@@ -69,7 +69,7 @@ query("join_left_equi", "id_pago:s id_credito:s cuota_mensual:m",
                        rollup.loan_latest_instalment(t.loans), ["id_credito"]),
       "SELECT id_pago, p.id_credito, cuota_mensual FROM {payments} p LEFT JOIN {loan_instalment} l ON p.id_credito = l.id_credito")
 query("join_left_multikey", "id_credito:s fecha_corte:s id_cliente_PK:n",
-      lambda t: small_lookup(t.staged_credits, t.dim_customer, galaxy.CUSTOMER_KEYS),
+      lambda t: lookup(t.staged_credits, t.dim_customer, galaxy.CUSTOMER_KEYS),
       "SELECT * FROM {fact_credits}")
 query("join_left_multikey_salted", "id_credito:s fecha_corte:s id_cliente_PK:n",
       lambda t: lookup(t.staged_credits, t.dim_customer, galaxy.CUSTOMER_KEYS, share=4),
@@ -84,8 +84,8 @@ query("join_left_ranked", "id_cliente:s provisions:m ranking:n",
           "id_cliente", "left"),
       "SELECT c.id_cliente, provisions, ranking FROM {customers} c LEFT JOIN {ranked_roll} r ON c.id_cliente = r.id_cliente AND ranking = 1")
 query("join_lateral_top1", "id_pago:s fecha_vencimiento_cuota:s id_cliente_PK:n",
-      lambda t: small_lookup(t.mart_payments, galaxy.best_customer(t.dim_customer),
-                             ["id_cliente", "segmento", "zona_geografica", "oficial_credito"]),
+      lambda t: lookup(t.staged_payments, galaxy.best_customer(t.dim_customer),
+                       ["id_cliente", "segmento", "zona_geografica", "oficial_credito"]),
       "SELECT * FROM {fact_payments}")
 query("join_lateral_values", "id_credito:s fecha_corte:s field:s value:s",
       lambda t: t.loans.unpivot(["id_credito", "fecha_corte"], ["monto_aprobado", "plazo_meses", "dias_atraso"], "field", "value"),

@@ -93,25 +93,32 @@ class Tables:
         """The cleaned loans, written once for the dimensions and facts that read them."""
         return stage(self.mart_credits, "mart_credits")
 
+    @cached_property
+    def staged_payments(self) -> DataFrame:
+        return stage(self.mart_payments, "mart_payments")
+
+    # Dimensions are written tables, as in the built model: joins go by their measured size.
+
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return galaxy.dim_customer(self.staged_credits)
+        return stage(galaxy.dim_customer(self.staged_credits), "dim_customer")
 
     @cached_property
     def dim_rating(self) -> DataFrame:
-        return galaxy.dim_rating(self.staged_credits, self.mart_customers, self.mart_payments)
+        dim = galaxy.dim_rating(self.staged_credits, self.mart_customers, self.mart_payments)
+        return stage(dim, "dim_rating")
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return galaxy.dim_product(self.staged_credits)
+        return stage(galaxy.dim_product(self.staged_credits), "dim_product")
 
     @cached_property
     def dim_status(self) -> DataFrame:
-        return galaxy.dim_status(self.mart_customers)
+        return stage(galaxy.dim_status(self.mart_customers), "dim_status")
 
     @cached_property
     def dim_state(self) -> DataFrame:
-        return galaxy.dim_payment_state(self.mart_payments)
+        return stage(galaxy.dim_payment_state(self.staged_payments), "dim_payment_state")
 
     @cached_property
     def months(self) -> DataFrame:

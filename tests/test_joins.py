@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from bankmart.operators.joins import hot_keys, lookup, small_lookup
+from bankmart.operators.joins import hot_keys, lookup
+from bankmart.sources import stage
 from tests.frames import rows
 
 
@@ -54,10 +55,18 @@ def test_number_of_hot_keys_is_bounded(spark):
     assert len(found) == 10 and sum(r[1] for r in found) < 2 * 11
 
 
-@pytest.mark.parametrize("max_rows", [1_000, 5])
-def test_small_lookup_counts_before_it_broadcasts(spark, max_rows):
-    left, right = skewed(spark), dimension(spark)
-    got = small_lookup(left, right, ["k"], max_rows=max_rows)
-    assert sorted(rows(got.select("k", "v", "name")), key=repr) == expected(left, right, "left")
-    plan = got._jdf.queryExecution().optimizedPlan().toString()
-    assert ("_salt" in plan) == (max_rows == 5)
+def test_hot_keys_found_once_serve_several_keys(spark):
+    left = skewed(spark).withColumn("w", F.when(F.col("v") > 0, F.col("v") % 2))
+    right = dimension(spark).crossJoin(spark.range(2).select(F.col("id").alias("w")))
+    hot = hot_keys(left, ["k"], share=16)
+    got = lookup(left, right, ["k", "w"], hot=hot)
+    want = left.join(right, ["k", "w"], "left").select(*got.columns)
+    assert sorted(rows(got), key=repr) == sorted(rows(want), key=repr)
+    assert rows(hot)[0][0] == 7
+
+
+def test_hot_keys_read_the_table_once(spark):
+    left = stage(skewed(spark), "hot-probe")
+    found = hot_keys(left, ["k"], share=4)
+    found.collect()
+    assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()

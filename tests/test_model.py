@@ -74,6 +74,46 @@ def test_csv_keeps_empty_text_apart_from_null(spark, tmp_path):
     assert read_raw(spark, str(path), "customers", empty_as_null=True).first()[0] is None
 
 
+def test_csv_in_another_column_order_is_refused(spark, tmp_path):
+    path = tmp_path / "customers.csv"
+    names = S.RAW_COLUMNS["customers"]
+    path.write_text(",".join(names[::-1]) + "\n" + ",".join(["x"] * len(names)) + "\n")
+    with pytest.raises(Exception, match="header"):
+        read_raw(spark, str(path), "customers").collect()
+
+
+@pytest.mark.parametrize("mart, types", [
+    ("mart_credits", S.LOAN_TYPES), ("mart_payments", S.PAYMENT_TYPES), ("mart_customers", S.CUSTOMER_TYPES)])
+def test_types_of_the_cleaned_tables(spark, mart, types):
+    found = dict(getattr(Tables(spark, SF), mart).dtypes)
+    assert {c: found[c] for c in types} == types
+
+
+def test_types_of_the_monthly_tables(spark):
+    tables = Tables(spark, SF)
+    for df in (tables.mart_income, tables.mart_balance):
+        found = dict(df.dtypes)
+        assert found.pop("fecha_mes") == "date" and all(k.startswith("decimal") for k in found.values())
+
+
+def test_closed_domain_key_numbers_like_surrogate_key(spark):
+    df = spark.createDataFrame([("b", 1), (None, 2), ("a", 3), ("a", None)], "a string, b int")
+    assert sorted(rows(D.closed_domain_key(df, ["a", "b"], "key")), key=repr) == sorted(
+        rows(D.surrogate_key(df, ["a", "b"], "key")), key=repr)
+
+
+def test_facts_are_planned_without_running_jobs(spark):
+    tables = Tables(spark, SF)
+    credits, dims = tables.staged_credits, (tables.dim_customer, tables.dim_rating, tables.dim_product)
+    spark.sparkContext.setJobGroup("facts", "no job is expected")
+    try:
+        fact = G.fact_credits(credits, *dims)
+        G.star_credits(fact, *dims)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("facts")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_parquet_source_is_read_as_text(spark, tmp_path):
     names = S.RAW_COLUMNS["income"]
     df = spark.range(1).select(*[(F.col("id") + 5).alias(c) for c in names])
@@ -106,5 +146,9 @@ def test_galaxy_keeps_row_counts_and_keys(spark, tmp_path):
     star = G.star_credits(built["fact_credits"], built["dim_customer"], built["dim_rating"], built["dim_product"])
     card = kpi.kpi_scorecard(built["fact_income"], built["fact_balance"], star)
     assert card.count() == 8 and star.count() == built["fact_credits"].count()
+    days = built["dim_calendar"].agg(F.count("*"), F.count_distinct("fecha"), F.count_distinct("ano")).first()
+    assert days[0] == days[1] >= 365 * days[2] > 0
+    due = built["fact_payments"].where("mes_vencimiento <> last_day(fecha_vencimiento_cuota)")
+    assert due.count() == 0 and "mes_vencimiento" in built["fact_payments"].columns
     by_month = built["fact_credits"].where("fecha_corte = date'1998-06-30'")
     assert "PartitionFilters: [isnotnull(fecha_corte" in by_month._jdf.queryExecution().toString()

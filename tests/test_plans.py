@@ -3,12 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401
 from bankmart import schemas as S
 from bankmart.operators import profile, rollup
 from bankmart.plans import kpi, marts
-from bankmart.sources import stage
+from bankmart.sources import stage, write_table
 from catalog.registry import Tables
 
 SF = "/root/testdata/sf0.001"
@@ -61,6 +62,17 @@ def test_flagship_windows_run_on_monthly_rows(spark, raw):
     assert "SinglePartition" not in text
 
 
-def test_filter_on_cutoff_reaches_the_scan(raw):
-    text = raw.where("fecha_corte = '1998-06-30'")._jdf.queryExecution().toString()
-    assert "EqualTo(fecha_corte,1998-06-30)" in text
+@pytest.mark.parametrize("month", [None, "1998-06-30"])
+def test_scorecard_reads_only_its_months(spark, tmp_path, month):
+    tables = Tables(spark, SF)
+    fact = write_table(tables.mart_credits, str(tmp_path / "fact"), ["fecha_corte"])
+    income, balance = stage(tables.mart_income, "income"), stage(tables.mart_balance, "balance")
+    # The plan text cuts long filters off otherwise.
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
+    card = kpi.kpi_scorecard(income, balance, fact, month)
+    filters = re.findall(r"PartitionFilters: (.*fecha_corte.*), PushedFilters", plan(card))
+    assert filters and all(re.search(f"fecha_corte#\\d+ {way}= ", f) for f in filters for way in "<>")
+    whole = kpi.scorecard_series(income, balance, fact)
+    last = month or income.agg({"fecha_mes": "max"}).first()[0]
+    want = whole.where(F.col("fecha_mes") == F.lit(last).cast("date"))
+    assert sorted(card.collect(), key=repr) == sorted(want.collect(), key=repr) and card.count() == 8
