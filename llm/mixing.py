@@ -20,7 +20,7 @@ BLOCK, BUCKET, CHUNK = 256, 2000, 4096
 MOST_REPEATS = 3
 #: Golden ratio conjugate as a fraction of 2**32, so that points are exact integers.
 GOLDEN, UNIT = 2654435769, 1 << 32
-#: Slots in excess of the targets' blocks: sources that lag by a few slots still finish.
+#: Slots in excess of the targets' blocks: sources that lag by a few slots mostly finish within them.
 SPARE = 1.02
 
 
@@ -75,7 +75,8 @@ def schedule(targets: DataFrame) -> DataFrame:
     """slot, source, block: which block of which source each slot of the mix takes.
 
     A source gets exactly the blocks of its target; slots that fall on a source that is done
-    are left out, so slot numbers rise but are not gapless.
+    are left out, so slot numbers rise but are not gapless. Small sources can lag behind all
+    points of the mix: blocks that no point has met take slots of their own after the last.
     """
     spark = targets.sparkSession
     # Exact bounds in points of 2**32; one row per source.
@@ -86,7 +87,8 @@ def schedule(targets: DataFrame) -> DataFrame:
     bounds = bounds.withColumn("low", F.lag("high", 1, 0).over(Window.orderBy("high", F.col("source").isNull(), F.encode("source", "UTF-8"))))
     bounds = stage(bounds, "mixing-bounds")
     total = bounds.agg(F.coalesce(F.sum("blocks"), F.lit(0)), F.count("*")).first()
-    slots = spark.range(int(total[0] * SPARE) + 64 * total[1] if total[0] else 0).withColumnRenamed("id", "slot")
+    length = int(total[0] * SPARE) + 64 * total[1] if total[0] else 0
+    slots = spark.range(length).withColumnRenamed("id", "slot")
     points = slots.withColumn("point", F.pmod(F.col("slot") % UNIT * GOLDEN, F.lit(UNIT)))
     # Sources are stretched over cells of the unit interval they cover, so that a slot meets its source by an equal cell.
     grid = 4096
@@ -94,13 +96,21 @@ def schedule(targets: DataFrame) -> DataFrame:
     cells = bounds.select("*", F.explode(F.sequence(F.floor(F.col("low") / wide), F.floor(F.greatest(F.col("high") - 1, F.col("low")) / wide))).alias("cell"))
     met = points.withColumn("cell", F.floor(F.col("point") / wide)).join(cells, "cell").where("point >= low AND point < high")
     met = met.select("slot", "source", "blocks", F.floor(F.col("slot") / CHUNK).alias("chunk"))
-    counts = met.groupBy("source", "chunk").agg(F.count("*").alias("n"))
+    counts = stage(met.groupBy("source", "chunk").agg(F.count("*").alias("n")), "mixing-chunks")
+    reached = counts.groupBy(F.col("source").alias("_s")).agg(F.sum("n").alias("_n"))
+    short = bounds.join(reached, F.col("source").eqNullSafe(F.col("_s")), "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    short = short.where("_n < blocks").withColumn("lacks", F.col("blocks") - F.col("_n"))
+    in_turn = Window.orderBy(F.col("source").isNull(), F.encode("source", "UTF-8")).rowsBetween(Window.unboundedPreceding, -1)
+    short = short.withColumn("_first", F.coalesce(F.sum("lacks").over(in_turn), F.lit(0)) + length)
+    late = short.select("source", F.posexplode(F.sequence(F.col("_n"), F.col("blocks") - 1)).alias("_k", "block"), "_first")
+    late = late.select((F.col("_first") + F.col("_k")).alias("slot"), "source", "block")
     earlier = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(F.col("source").alias("_s"), F.col("chunk").alias("_c"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
     own = Window.partitionBy("source", "chunk").orderBy("slot")
     ranked = met.withColumn("_in", F.row_number().over(own) - 1)
     both = ranked.join(counts, F.col("source").eqNullSafe(F.col("_s")) & (F.col("chunk") == F.col("_c")))
-    return both.withColumn("block", F.col("_before") + F.col("_in")).where(F.col("block") < F.col("blocks")).select("slot", "source", "block")
+    on_time = both.withColumn("block", F.col("_before") + F.col("_in")).where(F.col("block") < F.col("blocks")).select("slot", "source", "block")
+    return on_time.unionByName(late)
 
 
 def mix(rows: DataFrame, targets: DataFrame) -> DataFrame:

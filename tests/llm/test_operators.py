@@ -355,3 +355,15 @@ def test_license_scan(spark, docs, empty):
     got = {(r.doc_id, r.license) for r in license.scan(spark.createDataFrame(rows, DOCS)).collect()}
     assert got == {(1, "CC-BY-NC-4.0"), (2, "GPL-2.0"), (4, "MIT")}
     assert license.scan(docs).count() == 0 and license.scan(empty).count() == 0
+
+
+def test_small_sources_get_all_their_blocks(spark):
+    """Sources of a few words beside huge ones: every block of every target has exactly one slot."""
+    targets = [("big1", 2_000_000.0), ("big2", 2_000_000.0), ("big3", 2_000_000.0), ("s1", 30.0), ("s2", 300.0), (None, 10_000.0)]
+    frame = spark.createDataFrame(targets, "source string, target double")
+    rows = mixing.schedule(frame).collect()
+    for source, target in targets:
+        assert sorted(r.block for r in rows if r.source == source) == list(range(-(-int(target) // mixing.BLOCK)))
+        blocks = [r.block for r in sorted(rows, key=lambda r: r.slot) if r.source == source]
+        assert blocks == sorted(blocks)
+    assert len({r.slot for r in rows}) == len(rows)
