@@ -167,6 +167,13 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
+def rooted(prints: DataFrame, least: Column) -> DataFrame:
+    """fp, root, first: each distinct fingerprint ``fp``, the smallest one that links lead to, and the least ``least`` of its rows."""
+    distinct = stage(prints.groupBy("fp").agg(F.min(least).alias("first")), "simhash-distinct")
+    roots = components(near_links(distinct.select("fp")))
+    return distinct.join(roots, distinct.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fp, component_id of every document.
 
@@ -176,11 +183,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Repeated rows share a fingerprint; an empty table gives no rows; other columns are not read.
     """
     prints = stage(fingerprints(docs.select("doc_id", "text")), "simhash-fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    distinct = stage(distinct, "simhash-distinct")
-    roots = components(near_links(distinct.select("fp")))
-    named = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = rooted(prints, F.col("doc_id"))
+    smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     of_print = named.join(smallest, "root").select("fp", "component_id")
     return prints.join(stage(of_print, "simhash-components"), "fp").select("doc_id", "fp", "component_id")
 
@@ -190,19 +194,15 @@ def hex_fingerprint(fp: Column) -> Column:
 
 
 def near_duplicate_filter(docs: DataFrame) -> DataFrame:
-    """One document of each component, the one of the smallest doc_id, with all its columns.
+    """One row of each component, with all its columns: the one of the smallest doc_id.
 
-    Rows with one and the same doc_id: one row of each fingerprint at most stays. Components
-    whose ids are all null keep one row.
+    Rows count one by one: of equal ids the first written row stays, and a null id comes after
+    all others, so every component keeps exactly one row.
     """
     row = free_name(docs, "_row")
-    found = stage(near_duplicates(docs), "simhash-report")
-    gone = found.where("NOT (doc_id <=> component_id)").select("doc_id").distinct()
-    again = found.where("doc_id <=> component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    stays = docs.join(gone, docs.doc_id.eqNullSafe(gone.doc_id), "left_anti")
-    if again.isEmpty():
-        return stays
-    once = stays.join(again, stays.doc_id.eqNullSafe(again.doc_id), "left_anti")
-    many = stays.join(again, stays.doc_id.eqNullSafe(again.doc_id), "left_semi")
-    many = fingerprints(many, keep=many.columns, name=row).dropDuplicates(["doc_id", row]).drop(row)
-    return once.unionByName(many)
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-documents")
+    prints = stage(fingerprints(numbered.select("doc_id", "text", row), keep=["doc_id", row]), "simhash-fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
+    stays = rooted(prints, order).groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+    kept = numbered.join(stage(stays, "simhash-kept"), row, "left_semi")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -367,3 +367,16 @@ def test_small_sources_get_all_their_blocks(spark):
         blocks = [r.block for r in sorted(rows, key=lambda r: r.slot) if r.source == source]
         assert blocks == sorted(blocks)
     assert len({r.slot for r in rows}) == len(rows)
+
+
+def test_near_duplicate_filter_by_row(spark):
+    """Null and repeated ids: each component keeps exactly one row, of the smallest id."""
+    rng = random.Random(12)
+    a, b, c, d = (sentence(rng, 120) for _ in range(4))
+    long = sentence(rng, 4000)
+    near = next(t for t in (f"{long} {k}" for k in range(200)) if 0 < (simhash.fingerprint(t) ^ simhash.fingerprint(long)).bit_count() <= 3)
+    rows = [(5, a), (5, b), (3, b), (None, c), (7, c), (None, d), (None, long), (None, near), (9, "x y z"), (9, "x y z")]
+    docs = spark.createDataFrame([(i, t, "en", "a") for i, t in rows], DOCS).repartition(3)
+    got = [(r.doc_id, r.text) for r in simhash.near_duplicate_filter(docs).collect()]
+    assert Counter(got[k] for k in range(len(got)) if got[k][1] not in (long, near)) == Counter([(5, a), (3, b), (7, c), (None, d), (9, "x y z")])
+    assert sum(t in (long, near) for _, t in got) == 1
