@@ -380,3 +380,13 @@ def test_near_duplicate_filter_by_row(spark):
     got = [(r.doc_id, r.text) for r in simhash.near_duplicate_filter(docs).collect()]
     assert Counter(got[k] for k in range(len(got)) if got[k][1] not in (long, near)) == Counter([(5, a), (3, b), (7, c), (None, d), (9, "x y z")])
     assert sum(t in (long, near) for _, t in got) == 1
+
+
+def test_license_every_notice_of_a_block(spark):
+    """Many licenses on a line, one notice twice, and a changed first word that also occurs earlier."""
+    short = {n: license.TEMPLATES[n][0] for n in ("Apache-2.0", "CC-BY-4.0", "CC-BY-NC-4.0", "GPL-3.0", "LGPL-3.0", "MIT")}
+    short["MIT"] = "Released under the MIT License."
+    rows = [(1, " ".join(short.values())), (2, f"{short['MIT']} and again {short['MIT']}"),
+            (3, "This is an old tool and nobody knows who wrote it. The work is licensed under the GNU General Public License, version 2.")]
+    got = sorted((r.doc_id, r.license, r.word_differences) for r in license.scan(spark.createDataFrame([(i, t, None, None) for i, t in rows], DOCS)).collect())
+    assert got == [*((1, n, 0) for n in sorted(short)), (2, "MIT", 0), (2, "MIT", 0), (3, "GPL-2.0", 1)]
