@@ -390,3 +390,46 @@ def test_license_every_notice_of_a_block(spark):
             (3, "This is an old tool and nobody knows who wrote it. The work is licensed under the GNU General Public License, version 2.")]
     got = sorted((r.doc_id, r.license, r.word_differences) for r in license.scan(spark.createDataFrame([(i, t, None, None) for i, t in rows], DOCS)).collect())
     assert got == [*((1, n, 0) for n in sorted(short)), (2, "MIT", 0), (2, "MIT", 0), (3, "GPL-2.0", 1)]
+
+
+def test_license_headers_bodies_and_tags(spark):
+    """Headers and bodies as they stand in files: wrapped, in comments, with tags."""
+    gpl = """/*
+ * This file is part of Foo, a program for stones.
+ *
+ * Foo is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU {} as published by
+ * the Free Software Foundation, either version {} of the License, or
+ * (at your option) any later version.
+ */"""
+    bsd = "\n".join("# " + x for x in """Copyright 2001 The Stone Authors. All rights reserved.
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.{}
+THIS SOFTWARE IS PROVIDED BY THE AUTHORS "AS IS".""".split("\n"))
+    third = "\n# 3. Neither the name of the MIT nor the names of its\n#    contributors may be used to endorse or promote products derived from this\n#    software without specific prior written permission."
+    mit = "dnl Permission is hereby granted, free of charge, to any person obtaining a copy\ndnl of this software and associated documentation files (the \"Software\"), to deal\ndnl in the Software without restriction, including without limitation the rights\ndnl to use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ndnl copies of the Software, and to permit persons to whom the Software is\ndnl furnished to do so, subject to the following conditions:"
+    isc = "Permission to use, copy, modify, and distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies."
+    rows = [(gpl.format("General Public License", 3), ["GPL-3.0"]), (gpl.format("General Public License", 2), ["GPL-2.0"]), (gpl.format("Lesser General Public License", "2.1"), ["LGPL-2.1"]),
+            (gpl.format("Affero General Public License", 3), ["AGPL-3.0"]), (bsd.format(""), ["BSD-2-Clause"]), (bsd.format(third), ["BSD-3-Clause"]), (mit, ["MIT"]), (isc, ["ISC"]),
+            ("This is free and unencumbered software released into\nthe public domain.", ["Unlicense"]),
+            ("// SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note OR BSD-3-Clause) AND OFL-1.1\nint and = 1;", ["BSD-3-Clause", "GPL-2.0", "OFL-1.1"]),
+            ("a driver's license and public software without permission", [])]
+    frame = spark.createDataFrame([(i, t, None, None) for i, (t, _) in enumerate(rows)], DOCS)
+    got = {}
+    for r in license.scan(frame).collect():
+        got.setdefault(r.doc_id, []).append(r.license)
+    assert [sorted(got.get(i, [])) for i in range(len(rows))] == [want for _, want in rows]
+
+
+def test_license_cues_reach_every_notice():
+    """Every template has more cues than words that may differ, and is found as its own license."""
+    scanner = license.Scanner()
+    for name, texts in license.TEMPLATES.items():
+        for text in texts:
+            assert len(license._CUE.findall(text)) > license._allowed(len(license._WORD.findall(text)))
+            assert [f[0] for f in scanner.block(f"foo bar {text} baz qux")] == [name]
