@@ -433,3 +433,31 @@ def test_license_cues_reach_every_notice():
         for text in texts:
             assert len(license._CUE.findall(text)) > license._allowed(len(license._WORD.findall(text)))
             assert [f[0] for f in scanner.block(f"foo bar {text} baz qux")] == [name]
+
+
+def test_quality_rejects_each_statistic_alone(spark):
+    """An outlier in one statistic is rejected, whichever it is; a single occurrence is not."""
+    rng = random.Random(14)
+
+    def lines(words, n=9):
+        return "\n".join(" ".join(words[k : k + n]) for k in range(0, len(words), n))
+
+    clean = [lines(sentence(rng, rng.randrange(100, 300)).split()) for _ in range(400)]
+    words = sentence(rng, 200).split()
+    short = [sentence(rng, 3) for _ in range(60)]
+    planted = {
+        "word_length": lines([w + "ab1" for w in words]),
+        "symbols": lines([w + "#" * (k % 2) for k, w in enumerate(words)]),
+        "dup_lines": "\n".join(rng.choices(short, k=200)),
+        "repeats": lines(words[:25] + words[30:150] + words[:25] + words[155:185]),
+        "capitals": lines([w.upper() if k % 2 else w for k, w in enumerate(words)]),
+        "marks": lines([w + "!" * (k % 2) for k, w in enumerate(words)]),
+    }
+    single = [lines(words[:99] + ["&"]), lines(words[:99] + ["a!"]), lines(words[:60], 6) + "\n" + lines(words[:6])]
+    texts = clean + list(planted.values()) + single
+    rows = quality.quality_report(spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(texts)], DOCS)).collect()
+    out = {r.doc_id: r for r in rows}
+    assert not any(r.base_failed for r in rows)
+    assert {n: out[400 + k].kept for k, n in enumerate(planted)} == dict.fromkeys(planted, False)
+    assert all(out[406 + k].kept for k in range(3))
+    assert sum(not out[i].kept for i in range(400)) <= 2
