@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm import ann, chat, langid, license, mixing, packing, quality, sharding, simhash, toxicity
+from llm import ann, centroids, chat, langid, license, mixing, packing, periodic, quality, secretscan, sharding, simhash, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -56,17 +56,56 @@ def op10_golden_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_report(_read(spark, sf_dir, "documents"))
 
 
+def op11_hilbert_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_report(_read(spark, sf_dir, "embeddings"))
+
+
+def op12_char_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.secret_report(_read(spark, sf_dir, "documents"))
+
+
+def op13_basic_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_report(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_mcd, op2_chat_windows, op3_toxicity_ftrl, op4_residual_packing, op5_license_compression,
         op6_simhash_popcount, op7_language_backoff, op8_bounded_ring, op9_one_bit_codes, op10_golden_schedule,
+        op11_hilbert_zones, op12_char_cnn, op13_basic_factors,
     )
 }
 
+
+
+def _centroid_rounds(rounds: int = centroids.ROUNDS, k: int = centroids.CENTROIDS, d: int = centroids.DIMENSION) -> str:
+    """Rounds of assignment and exact floors of means, written out one after the other."""
+    distance = f"list_sum(list_transform(range(1, {d + 1}), lambda i: (v.v[i] - c.v[i]) * (v.v[i] - c.v[i])))"
+    steps = [f"""
+WITH v AS (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({centroids.STEPS} * CAST(x AS DOUBLE)) AS HUGEINT)) AS v
+    FROM embeddings WHERE len(embedding) = {d} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {d}
+), c0 AS (
+    SELECT row_number() OVER (ORDER BY sha256('{centroids.SALT}:' || vec_id) NULLS LAST, v) - 1 AS c, v FROM v QUALIFY c < {k}
+)"""]
+    for n in range(rounds + 1):
+        steps.append(f"a{n} AS (SELECT r, min({distance} * {k} + c.c) AS m FROM v, c{n} AS c GROUP BY r)")
+        if n < rounds:
+            steps.append(f"""p{n} AS (
+    SELECT m % {k} AS c, i, CAST(floor(CAST(sum(v.v[i]) AS DOUBLE) / count(*)) AS HUGEINT) AS x FROM a{n} JOIN v USING (r), range(1, {d + 1}) AS t(i) GROUP BY ALL
+), c{n + 1} AS (SELECT c, coalesce(list(x ORDER BY i) FILTER (x IS NOT NULL), any_value(c{n}.v)) AS v FROM c{n} LEFT JOIN p{n} USING (c) GROUP BY c)""")
+    steps.append(f"f AS (SELECT vec_id, m % {k} AS c, m // {k} AS d FROM a{rounds} JOIN v USING (r))")
+    return ", ".join(steps) + f"""
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+    CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+FROM f JOIN c{rounds} USING (c)"""
+
+
 # A source's stream is its documents by md5(doc_id); its first floor(target) words are taken,
 # over up to three passes. Slots and blocks only fix the order of the mix.
 ORACLES = {
+    "op11_hilbert_zones": _centroid_rounds(),
     "op10_golden_schedule": r"""
 WITH d AS (
     SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents

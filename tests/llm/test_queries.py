@@ -44,7 +44,7 @@ def check(n):
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES if name.startswith("op") and name[2].isdigit()}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES if name.startswith("op") and name[2].isdigit()}
     assert "pipeline" in QUERIES
 
 
