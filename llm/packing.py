@@ -10,6 +10,7 @@ bins at most and the tree's tasks stay small whatever the input.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from unicodedata import is_normalized
 
@@ -29,47 +30,57 @@ SLACK = 8
 CARRY, FAN_IN = 256, 32
 #: Pieces that a task packs at one time.
 CHUNK = 400_000
-#: Text chunks whose ids a worker remembers.
-CACHE = 200_000
+#: Text chunks whose ids a task remembers: those of the last ``CACHE`` to twice as many new ones.
+CACHE = 250_000
 MARKS = tuple(".,;:!?")
+#: Bytes as the characters that stand for them in the vocabulary: printable ones as they are, the rest from 256 on.
+_SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+_BYTES = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in set(_SHOWN))}
 
 
 class _Encoder(dict):
     """Lower-case text between blanks to its ids as little-endian bytes.
 
     The tokenizer drops white space, and no token reaches across it, nor from letters to a mark
-    behind them: a text's ids are those of its parts. Plain words skip the steps that leave
-    them as they are. Texts for which lower-casing first might differ are encoded whole.
+    behind them: a text's ids are those of its parts. Plain words go straight to the merges, as
+    the steps before leave them as they are. Texts for which lower-casing first might differ are encoded whole.
+
+    Ids of two generations of parts are remembered: a part of the older one that is met again
+    joins the younger, and once that is full it takes the older one's place.
     """
 
     def __init__(self, path: str):
         super().__init__()
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer
 
-        self.model, self.bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.bare.normalizer = normalizers.Sequence([])
-        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.model = Tokenizer.from_file(path)
+        self.merges = self.model.model
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, part: str) -> bytes:
-        if part[-1:] in MARKS and part[:-1].isalpha():
-            ids = self[part[:-1]] + self[part[-1]]
-        else:
-            plain = part.isalpha() and max(part) < "\u0600"
-            ids = self._encode(self.bare if plain else self.model, part)
+        ids = self.older.get(part)
+        if ids is None:
+            if part.isalpha() and (part.isascii() or max(part) < "\u0600"):
+                shown = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTES)
+                ids = array("I", [t.id for t in self.merges.tokenize(shown)]).tobytes()
+            elif part[-1:] in MARKS and part[:-1].isalpha():
+                ids = self[part[:-1]] + self[part[-1]]
+            else:
+                ids = self._encode(part)
         self[part] = ids
         return ids
 
-    @staticmethod
-    def _encode(model, text: str) -> bytes:
-        return np.array(model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _encode(self, text: str) -> bytes:
+        return array("I", self.model.encode(text, add_special_tokens=False).ids).tobytes()
 
     def ids(self, text: str | None) -> bytes:
         text = text or ""
         low = text.lower()
         end = END.to_bytes(4, "little")
         if "<|" in text or "\u03a3" in text or not (is_normalized("NFC", text) and is_normalized("NFC", low)):
-            return self._encode(self.model, text) + end
+            return self._encode(text) + end
         if len(self) > CACHE:
+            self.older = dict(self)
             self.clear()
         parts = low.replace("\n", " ").replace("\t", " ").split(" ")
         return b"".join(map(self.__getitem__, parts)) + end
