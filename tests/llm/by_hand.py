@@ -179,3 +179,52 @@ def gapless(rows):
             at += length
         assert at <= 4096
     return len(bins)
+
+
+def language_answers(learned, texts, least=3):
+    """(language, score) of each text, trained on (text, lang) pairs: word first, then shorter n-grams."""
+    letters = re.compile(r"[^\W\d_]+")
+
+    def grams(word, n):
+        padded = word if n == 1 else f" {word} "
+        return [padded[i : i + n] for i in range(len(padded) - n + 1)]
+
+    langs = sorted({lang for _, lang in learned})
+    counts = {n: {lang: Counter() for lang in langs} for n in range(6)}
+    for text, lang in learned:
+        for word in letters.findall((text or "").lower()):
+            counts[0][lang][word] += 1
+            for n in range(1, 6):
+                counts[n][lang].update(grams(word, n))
+    size = {n: len({x for lang in langs for x in counts[n][lang]}) for n in counts}
+    total = {n: {lang: sum(counts[n][lang].values()) for lang in langs} for n in counts}
+
+    def logs(n, part):
+        if sum(counts[n][lang][part] for lang in langs) < least:
+            return None
+        return [math.log((counts[n][lang][part] + 0.5) / (total[n][lang] + 0.5 * (size[n] + 1))) for lang in langs]
+
+    def word_scores(word):
+        own = logs(0, word)
+        for n in (5, 4, 3, 2, 1):
+            if own is None:
+                known = [x for x in (logs(n, g) for g in grams(word, n)) if x]
+                own = [sum(col) / len(known) for col in zip(*known)] if known else None
+        return own or [0.0] * len(langs)
+
+    seen = {}
+    out = []
+    for text in texts:
+        words = letters.findall((text or "").lower())
+        if not words:
+            out.append(("und", 0.0))
+            continue
+        sums = [0.0] * len(langs)
+        for w in words:
+            if w not in seen:
+                seen[w] = word_scores(w)
+            sums = [a + b for a, b in zip(sums, seen[w])]
+        sums = [x / math.sqrt(len(words)) for x in sums]
+        best = max(range(len(langs)), key=lambda i: (sums[i], -i))
+        out.append((langs[best], 1 / sum(math.exp(x - sums[best]) for x in sums)))
+    return out
