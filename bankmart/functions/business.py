@@ -75,10 +75,17 @@ def instalment_delay(days: Column | str, paid: Column | str, unpaid_days: int =
     return F.when(col(days) < 0, repaired).otherwise(col(days))
 
 
-def replace_if_differs(own: Column | str, source: Column | str, tolerance: str = "0.01") -> Column:
-    """Take the source value when both exist and lie further apart than the tolerance."""
+def replace_if_differs(
+    own: Column | str, source: Column | str, tolerance: str = "0.01", kind: str | None = None
+) -> Column:
+    """Take the source value when both exist and lie further apart than the tolerance.
+
+    ``kind`` is the declared type of the column: the source is compared as it is and rounded
+    to that type where it is taken, so sums and weighted means do not widen the column.
+    """
     limit = F.lit(tolerance).cast("decimal(18,4)")
-    return F.when(F.abs(col(own) - col(source)) > limit, col(source)).otherwise(col(own))
+    taken = col(source) if kind is None else col(source).try_cast(kind)
+    return F.when(F.abs(col(own) - col(source)) > limit, taken).otherwise(col(own))
 
 
 def status_band(value: Column | str, low=14, alert=23, high=35) -> Column:

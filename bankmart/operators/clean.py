@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from bankmart.functions import (
-    as_day, as_money, as_rate, as_type, as_whole, blank, col, instalment_delay,
+    as_day, as_money, as_rate, as_type, as_whole, col, instalment_delay,
     normalize_sector, payment_channel, ratio, rating_from_days,
 )
 from bankmart.operators.joins import lookup
 from bankmart.operators.rollup import loan_latest_instalment
 from bankmart.operators.rules import deposit_levy, profit_share
-from bankmart.schemas import EXCLUDED_DEBTS, POLICY_FLAGS, TEXT
+from bankmart.schemas import ASSET_PARTS, EQUITY_PARTS, EXCLUDED_DEBTS, POLICY_FLAGS
+from bankmart.sources.raw import bad_cells
 
 
 # --- typing ------------------------------------------------------------------------------
@@ -25,16 +28,7 @@ def project_typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 
 def cast_rejects(df: DataFrame, types: Mapping[str, str], keys: Sequence[str]) -> DataFrame:
     """Non-empty cells that the typed projection would turn into NULL, with their keys."""
-    cells = F.array_compact(F.array(*[
-        F.when(
-            ~blank(c) & as_type(c, kind).isNull(),
-            F.struct(F.lit(c).alias("field"), F.col(c).alias("dirty_value")),
-        )
-        for c, kind in types.items() if kind != TEXT
-    ]))
-    return df.select(*keys, F.explode(cells).alias("_cell")).select(
-        *keys, "_cell.field", "_cell.dirty_value"
-    )
+    return df.select(*keys, F.inline(bad_cells(types))).drop("kind")
 
 
 # --- loan exclusions ---------------------------------------------------------------------
@@ -108,15 +102,14 @@ def portfolio_from_loans(loans: DataFrame, performing: Sequence[str]) -> DataFra
 
 def rebuild_totals(df: DataFrame) -> DataFrame:
     """Equity, assets and deposit levy from their components."""
-    c = F.col
-    net_portfolio = c("cartera_bruta") - c("provisiones_acumuladas")
+    assets = F.col("cartera_bruta") - F.col("provisiones_acumuladas")
+    for part in ASSET_PARTS:
+        if part != "cartera_bruta":
+            assets = assets + F.col(part)
     return df.withColumns({
-        "total_patrimonio": c("capital_social") + c("reserva_legal") + c("reserva_especial")
-        + c("superavit_valuaciones") + c("utilidad_acumulada_ejercicio"),
-        "total_activos": c("fondos_disponibles") + c("operaciones_interbancarias_activo")
-        + c("inversiones") + net_portfolio + c("cuentas_por_cobrar")
-        + c("bienes_realizables_adjudicados") + c("propiedades_y_equipos") + c("otros_activos"),
-        "aporte_cosede": deposit_levy(c("total_obligaciones_publico")),
+        "total_patrimonio": reduce(add, [F.col(c) for c in EQUITY_PARTS]),
+        "total_activos": assets,
+        "aporte_cosede": deposit_levy(F.col("total_obligaciones_publico")),
     })
 
 

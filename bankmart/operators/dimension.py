@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -54,6 +56,22 @@ def surrogate_key(df: DataFrame, order: Sequence[str], key: str) -> DataFrame:
     )
 
 
+def extend_key(
+    existing: DataFrame, df: DataFrame, order: Sequence[str], key: str
+) -> DataFrame:
+    """A dimension with the keys it has, and new rows numbered on from the last of them.
+
+    Rows of ``df`` that the dimension knows (NULL equals NULL) keep their key, rows it lost keep
+    theirs too, as facts may still point to them. Only new rows are sorted and written.
+    """
+    known = existing.select(*[F.col(c).alias(f"_known_{c}") for c in order])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in order])
+    fresh = surrogate_key(df.select(*order).join(known, same, "left_anti"), order, key)
+    last = existing.agg(F.coalesce(F.max(key), F.lit(0)).alias("last")).scalar()
+    numbered = fresh.select((F.col(key) + last).alias(key), *order)
+    return existing.select(key, *order).unionByName(numbered)
+
+
 def top1_per_key(
     df: DataFrame, keys: Sequence[str], priority: Sequence[Column], pick: str
 ) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def duplicate_keys(
@@ -26,6 +26,30 @@ def uniqueness(df: DataFrame, key: str, approx: bool = False) -> DataFrame:
     )
 
 
+def distinct_sketches(
+    df: DataFrame, key: str, by: Sequence[str], size: int = 16
+) -> DataFrame:
+    """One mergeable sketch (``keys_seen``) of the distinct keys of each slice.
+
+    Stored once, the sketches of any slices merge into the count of their union, which counts
+    themselves cannot. ``size`` is the logarithm of the registers: 16 means 32 KB for a slice with
+    many keys, far less for one with few, and a standard error of 0.3%.
+    """
+    return df.groupBy(*by).agg(F.hll_sketch_agg(F.col(key), size).alias("keys_seen"))
+
+
+def distinct_estimates(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct keys (``n_keys``, estimated) of the union of all slices that share ``by``."""
+    merged = sketches.groupBy(*by).agg(F.hll_union_agg("keys_seen").alias("_merged"))
+    return merged.select(*by, F.hll_sketch_estimate("_merged").alias("n_keys"))
+
+
+def load_guard(spark: SparkSession, loads: Mapping[str, tuple[int, int]]) -> DataFrame:
+    """(load, n_before, n_after, diff) from rows counted while loads were written."""
+    rows = [(name, before, after, after - before) for name, (before, after) in loads.items()]
+    return spark.createDataFrame(rows, "load string, n_before long, n_after long, diff long")
+
+
 def row_count_check(before: DataFrame, after: DataFrame) -> DataFrame:
     """(n_before, n_after, diff): a fan-out or row-loss guard around a load."""
     tagged = before.select(F.lit(1).alias("b"), F.lit(0).alias("a")).unionAll(

@@ -14,6 +14,29 @@ from bankmart.schemas import MONEY, PERCENT, RATE
 MISSING_WORDS = ("NULL", "NaN", "N/A")  # fixed value: texts that stand for "no date"
 
 
+def invalid_tests(
+    fields: Sequence[str], kind: str = RATE, strict: bool = False
+) -> dict[str, Column]:
+    return {f: ~blank(f) & as_decimal(f, kind, strict).isNull() for f in fields}
+
+
+def invalid_date_tests(
+    fields: Sequence[str], sentinels: Sequence[str] = MISSING_WORDS
+) -> dict[str, Column]:
+    return {f: ~blank(f) & as_day(f).isNull() & ~F.col(f).isin(*sentinels) for f in fields}
+
+
+def negative_tests(
+    fields: Sequence[str], kinds: Mapping[str, str] | None = None, kind: str = RATE
+) -> dict[str, Column]:
+    kinds = kinds or {}
+    return {f: as_type(f, kinds.get(f, kind)) < 0 for f in fields}
+
+
+def missing_tests(fields: Sequence[str]) -> dict[str, Column]:
+    return {f: blank(f) for f in fields}
+
+
 def _bad_cells(df: DataFrame, tests: Mapping[str, Column], step: str) -> DataFrame:
     """Frequency of the failing values per column.
 
@@ -44,8 +67,7 @@ def invalid_values(
     step: str = "invalid_values",
 ) -> DataFrame:
     """Non-empty texts that are not numbers: (step, field, dirty_value, freq)."""
-    tests = {f: ~blank(f) & as_decimal(f, kind, strict).isNull() for f in fields}
-    return _bad_cells(df, tests, step)
+    return _bad_cells(df, invalid_tests(fields, kind, strict), step)
 
 
 def invalid_dates(
@@ -55,10 +77,7 @@ def invalid_dates(
     step: str = "invalid_dates",
 ) -> DataFrame:
     """Non-empty texts that are not dates; words that mean "missing" are not counted."""
-    tests = {
-        f: ~blank(f) & as_day(f).isNull() & ~F.col(f).isin(*sentinels) for f in fields
-    }
-    return _bad_cells(df, tests, step)
+    return _bad_cells(df, invalid_date_tests(fields, sentinels), step)
 
 
 def invalid_date_rows(
@@ -86,10 +105,8 @@ def negatives(
     step: str = "negatives",
 ) -> DataFrame:
     """Count of values under zero per column, in one pass; clean columns are left out."""
-    kinds = kinds or {}
-    counts = df.agg(*[
-        F.count_if(as_type(f, kinds.get(f, kind)) < 0).alias(f) for f in fields
-    ])
+    tests = negative_tests(fields, kinds, kind)
+    counts = df.agg(*[F.count_if(test).alias(f) for f, test in tests.items()])
     return (
         _unpivot_counts(counts, fields, total=False)
         .where("n > 0")
@@ -105,7 +122,8 @@ def percent(part: Column, whole: Column) -> Column:
 def missing(df: DataFrame, fields: Sequence[str], step: str = "missing") -> DataFrame:
     """NULL or empty cells per column, in one pass, worst column first."""
     counts = df.agg(
-        F.count("*").alias("rows"), *[F.count_if(blank(f)).alias(f) for f in fields]
+        F.count("*").alias("rows"),
+        *[F.count_if(test).alias(f) for f, test in missing_tests(fields).items()],
     )
     return (
         _unpivot_counts(counts, fields, total=True)

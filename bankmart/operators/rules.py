@@ -13,15 +13,28 @@ from bankmart.functions import (
 )
 from bankmart.schemas import MONEY, RATING_BANDS
 
+# --- fixed values: labels that the audits print -----------------------------------------
+GAP_LABELS = ("CORRECTO", "ERROR_CALCULO")
+RATIO_LABELS = ("BAJO (Menor al 8%)", "ALTO (Mayor al 35%)", "DENTRO DE RANGO")
+
+
+def chronology_test(start: str, end: str, as_of) -> Column:
+    begin, finish = as_day(start), as_day(end)
+    return (finish <= begin) | (begin > F.lit(as_of).cast("date"))
+
 
 def chronology(
     df: DataFrame, start: str, end: str, as_of, context: Sequence[str]
 ) -> DataFrame:
     """End not after start, or start after ``as_of`` (a date passed in, never today)."""
-    begin, finish = as_day(start), as_day(end)
-    return df.where((finish <= begin) | (begin > F.lit(as_of).cast("date"))).select(
-        *context, start, end
-    )
+    return df.where(chronology_test(start, end, as_of)).select(*context, start, end)
+
+
+def date_parts_test(date: str, year: str, month: str, mode: str = "all") -> Column:
+    day = as_day(date)
+    wrong_year = F.year(day) != as_whole(year)
+    wrong_month = F.month(day) != as_whole(month)
+    return wrong_year & wrong_month if mode == "all" else wrong_year | wrong_month
 
 
 def date_parts(
@@ -31,11 +44,7 @@ def date_parts(
 
     ``mode='all'`` wants both parts wrong, ``mode='any'`` reports a single wrong part.
     """
-    day = as_day(date)
-    wrong_year = F.year(day) != as_whole(year)
-    wrong_month = F.month(day) != as_whole(month)
-    test = wrong_year & wrong_month if mode == "all" else wrong_year | wrong_month
-    return df.where(test).select(date, month, year)
+    return df.where(date_parts_test(date, year, month, mode)).select(date, month, year)
 
 
 def rating_band_rows(
@@ -62,12 +71,16 @@ def rating_band_counts(df: DataFrame, rating: str, days: str, **options) -> Data
     return rows.groupBy(rating).agg(F.count("*").alias("n_wrong"))
 
 
+def not_greater_test(amount: str, limit: str) -> Column:
+    a, b = as_money(amount), as_money(limit)
+    return (a > b) & (b > 0)
+
+
 def not_greater(
     df: DataFrame, amount: str, limit: str, context: Sequence[str]
 ) -> DataFrame:
     """Rows whose amount exceeds a positive limit."""
-    a, b = as_money(amount), as_money(limit)
-    return df.where((a > b) & (b > 0)).select(*context, limit, amount)
+    return df.where(not_greater_test(amount, limit)).select(*context, limit, amount)
 
 
 def total(columns: Sequence[str], kind: str = MONEY) -> Column:
@@ -105,8 +118,8 @@ def gap_audit(
     if label_below is not None:
         out = out.withColumn(
             "status",
-            F.when(F.abs("_gap") < label_below, F.lit("CORRECTO")).otherwise(
-                F.lit("ERROR_CALCULO")
+            F.when(F.abs("_gap") < label_below, F.lit(GAP_LABELS[0])).otherwise(
+                F.lit(GAP_LABELS[1])
             ),
         )
     return out.drop("_gap")
@@ -173,9 +186,9 @@ def ratio_band(
     """Part over whole in percent where the whole is positive, with a range label."""
     share = F.try_divide(as_money(part), as_money(whole))
     status = (
-        F.when(share < F.lit(low).cast("decimal(5,4)"), F.lit("BAJO (Menor al 8%)"))
-        .when(share > F.lit(high).cast("decimal(5,4)"), F.lit("ALTO (Mayor al 35%)"))
-        .otherwise(F.lit("DENTRO DE RANGO"))
+        F.when(share < F.lit(low).cast("decimal(5,4)"), F.lit(RATIO_LABELS[0]))
+        .when(share > F.lit(high).cast("decimal(5,4)"), F.lit(RATIO_LABELS[1]))
+        .otherwise(F.lit(RATIO_LABELS[2]))
     )
     return df.where(as_money(whole) > 0).select(
         *context, as_money(whole).alias(whole), as_money(part).alias(part),
@@ -207,23 +220,29 @@ def difference_exact(
     )
 
 
+def not_mirror_test(paid: str, due: str) -> Column:
+    return (as_money(paid) < 0) & (F.abs(as_money(paid)) != as_money(due))
+
+
 def negative_not_mirror(
     df: DataFrame, paid: str, due: str, context: Sequence[str]
 ) -> DataFrame:
     """Negative amounts that are not the mirror image of the amount due."""
-    p, d = as_money(paid), as_money(due)
-    return df.where((p < 0) & (F.abs(p) != d)).select(
-        p.alias(paid), d.alias(due), *context
+    return df.where(not_mirror_test(paid, due)).select(
+        as_money(paid).alias(paid), as_money(due).alias(due), *context
     )
 
 
+def unpaid_part(due: str, paid: str) -> Column:
+    rest = as_money(due) - as_money(paid)
+    return F.when(rest < 0, F.lit(0).cast("decimal(19,2)")).otherwise(rest)
+
+
 def floor_zero(
     df: DataFrame, reported: str, due: str, paid: str, context: Sequence[str]
 ) -> DataFrame:
     """Pending amounts that differ from the unpaid part, which is never under zero."""
-    rest = as_money(due) - as_money(paid)
-    expected = F.when(rest < 0, F.lit(0).cast("decimal(19,2)")).otherwise(rest)
-    value = as_money(reported)
+    value, expected = as_money(reported), unpaid_part(due, paid)
     return df.where(value != expected).select(
         *context, value.alias("reported"), as_money(due).alias(due),
         expected.alias("recomputed"), (value - expected).alias("gap"),
@@ -240,24 +259,31 @@ def flag_rederive(df: DataFrame, stored: str | None = None) -> DataFrame:
     return df.groupBy(value.alias("value")).agg(F.count("*").alias("freq"))
 
 
-def flag_contradiction(df: DataFrame, context: Sequence[str] = ("id_cliente",)) -> DataFrame:
-    """Arrears balance without the flag, or the flag and late days without a balance."""
+def contradiction_test() -> Column:
     balance, flag = as_money("saldo_mora_total"), as_whole("tiene_credito_en_mora")
-    days = as_whole("max_dias_atraso")
     unflagged = (balance > 0) & (flag == 0)
-    unbacked = (balance == 0) & (flag == 1) & (days > 0)
-    return df.where(unflagged | unbacked).select(
-        *context, flag.alias("tiene_credito_en_mora"), days.alias("max_dias_atraso"),
-        balance.alias("saldo_mora_total"),
+    return unflagged | ((balance == 0) & (flag == 1) & (as_whole("max_dias_atraso") > 0))
+
+
+def flag_contradiction(df: DataFrame, context: Sequence[str] = ("id_cliente",)) -> DataFrame:
+    """Arrears balance without the flag, or the flag and late days without a balance."""
+    return df.where(contradiction_test()).select(
+        *context, as_whole("tiene_credito_en_mora").alias("tiene_credito_en_mora"),
+        as_whole("max_dias_atraso").alias("max_dias_atraso"),
+        as_money("saldo_mora_total").alias("saldo_mora_total"),
     )
 
 
+def share_in_percent(part: str, whole: str) -> Column:
+    share = F.try_divide(as_money(part), F.nullif(as_money(whole), F.lit(0)))
+    return F.coalesce(share * 100, F.lit(0))
+
+
 def rate_recalc(
     df: DataFrame, rate: str, part: str, whole: str, context: Sequence[str] = (), tolerance=1
 ) -> DataFrame:
     """Reported rate against 100 * part / whole (0 without a whole); signed gap."""
-    share = F.try_divide(as_money(part), F.nullif(as_money(whole), F.lit(0)))
-    expected = F.coalesce(share * 100, F.lit(0))
+    expected = share_in_percent(part, whole)
     gap = as_money(rate) - expected
     return df.where(gap > tolerance).select(
         *context, as_money(rate).alias("reported"), expected.alias("recomputed"),

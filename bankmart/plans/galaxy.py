@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from bankmart.operators.dimension import (
-    calendar_of, closed_domain_key, surrogate_key, top1_per_key,
+    calendar_of, closed_domain_key, extend_key, surrogate_key, top1_per_key,
 )
 from bankmart.operators.joins import lookup
+from bankmart.operators.keys import load_guard
 from bankmart.operators.rollup import latest_per_key
 from bankmart.plans.marts import build_marts
 from bankmart.schemas import CUSTOMER_KEYS, LOAN_TYPES
-from bankmart.sources import RawTables, stage, write_table
+from bankmart.sources import RawTables, counted, stage, temporary_stages, write_counted
 
 # --- fixed values: columns of the facts -------------------------------------------------
 # Attributes a loan row reaches through its dimension keys instead.
@@ -60,6 +62,11 @@ BALANCE_FACT = [
     "cobertura_provision_pct_t1", "el_total_t1",
 ]
 
+# Natural keys of the dimensions with a closed domain.
+STATUS_FLAGS = ["es_cliente_preferente", "tiene_credito_en_mora"]
+PRODUCT_PAIR = ["producto_crediticio", "tipo_garantia"]
+STATE_PAIR = ["estado_pago", "canal_pago"]
+
 
 # --- dimensions --------------------------------------------------------------------------
 
@@ -77,8 +84,7 @@ def dim_customer(credits: DataFrame, latest_only: bool = False) -> DataFrame:
 
 
 def dim_status(customers: DataFrame) -> DataFrame:
-    flags = ["es_cliente_preferente", "tiene_credito_en_mora"]
-    return closed_domain_key(customers.select(*flags).distinct(), flags, "id_status_t5")
+    return closed_domain_key(customers.select(*STATUS_FLAGS).distinct(), STATUS_FLAGS, "id_status_t5")
 
 
 def rating_domain(credits: DataFrame, customers: DataFrame, payments: DataFrame) -> DataFrame:
@@ -103,13 +109,11 @@ def dim_rating(credits: DataFrame, customers: DataFrame, payments: DataFrame) ->
 
 
 def dim_product(credits: DataFrame) -> DataFrame:
-    pair = ["producto_crediticio", "tipo_garantia"]
-    return closed_domain_key(credits.select(*pair).distinct(), pair, "id_producto_PK")
+    return closed_domain_key(credits.select(*PRODUCT_PAIR).distinct(), PRODUCT_PAIR, "id_producto_PK")
 
 
 def dim_payment_state(payments: DataFrame) -> DataFrame:
-    pair = ["estado_pago", "canal_pago"]
-    return closed_domain_key(payments.select(*pair).distinct(), pair, "id_estado_PK")
+    return closed_domain_key(payments.select(*STATE_PAIR).distinct(), STATE_PAIR, "id_estado_PK")
 
 
 def dim_calendar(facts: Iterable[DataFrame]) -> DataFrame:
@@ -169,8 +173,7 @@ def fact_customers(
 ) -> DataFrame:
     """Customer rows with three dimension keys. No key is hot: a customer is one row."""
     rated = rating.withColumnRenamed("calificacion", "calificacion_consolidada")
-    flags = ["es_cliente_preferente", "tiene_credito_en_mora"]
-    keyed = customers.join(customer, CUSTOMER_KEYS, "left").join(status, flags, "left")
+    keyed = customers.join(customer, CUSTOMER_KEYS, "left").join(status, STATUS_FLAGS, "left")
     return keyed.join(rated, "calificacion_consolidada", "left").select(*CUSTOMER_FACT)
 
 
@@ -192,35 +195,65 @@ def star_credits(
     return star.join(rated, "id_calificacion_sk", "left").join(product, "id_producto_PK", "left")
 
 
-def build_galaxy(raw: RawTables, path: str) -> dict[str, DataFrame]:
+def build_galaxy(
+    raw: RawTables, path: str, previous: Mapping[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
     """Rebuild all dimensions and facts as physical tables under ``path``.
 
-    Cleaned tables that feed several dimensions are written once. Dimensions are written
-    before the facts that look them up, so their measured size decides the join. The
-    calendar spans the years of all facts. Loans are partitioned by cutoff, payments by due
-    month (``mes_vencimiento``).
+    Cleaned tables that feed several dimensions are written once, and removed at the end.
+    Dimensions are written before the facts that look them up, so their measured size decides
+    the join. The calendar spans the years of all facts. Loans are partitioned by cutoff,
+    payments by due month (``mes_vencimiento``).
+
+    ``previous`` are the tables of an earlier build at another path: its dimensions keep their
+    keys, and new rows are numbered on. ``load_guard`` holds the rows before and after every
+    load, counted while they were written.
     """
-    marts = build_marts(raw)
-    credits = stage(marts["credits"], "mart_credits")
-    payments = stage(marts["payments"], "mart_payments")
-    customers = stage(marts["customers"], "mart_customers")
+    spark = raw.loans.sparkSession
     out: dict[str, DataFrame] = {}
+    rows: dict[str, int] = {}
 
     def save(name: str, df: DataFrame, partition_by=()) -> DataFrame:
-        out[name] = write_table(df, f"{path}/{name}", partition_by)
+        out[name], rows[name] = write_counted(df, f"{path}/{name}", partition_by)
         return out[name]
 
-    customer = save("dim_customer", dim_customer(credits))
-    status = save("dim_status", dim_status(customers))
-    rating = save("dim_rating", dim_rating(credits, customers, payments))
-    product = save("dim_product", dim_product(credits))
-    state = save("dim_payment_state", dim_payment_state(payments))
-    save("fact_credits", fact_credits(credits, customer, rating, product), ["fecha_corte"])
-    due = F.last_day("fecha_vencimiento_cuota")
-    paid = fact_payments(payments, customer, rating, state).withColumn("mes_vencimiento", due)
-    save("fact_payments", paid, ["mes_vencimiento"])
-    save("fact_customers", fact_customers(customers, customer, status, rating))
-    save("fact_income", fact_income(marts["income"]))
-    save("fact_balance", fact_balance(marts["balance"]))
-    save("dim_calendar", dim_calendar([df for name, df in out.items() if name.startswith("fact_")]))
+    def cleaned(name: str, df: DataFrame) -> DataFrame:
+        watched, seen = counted(df)
+        staged = stage(watched, f"mart_{name}")
+        rows[name] = seen.get["rows"]
+        return staged
+
+    def dimension(name: str, domain: DataFrame, key: str, order: list[str], build) -> DataFrame:
+        if previous is not None:
+            return save(name, extend_key(previous[name], domain, order, key))
+        return save(name, build())
+
+    with temporary_stages(spark):
+        balance, n_balance = counted(raw.balance)
+        marts = build_marts(replace(raw, balance=balance))
+        credits = cleaned("credits", marts["credits"])
+        payments = cleaned("payments", marts["payments"])
+        customers = cleaned("customers", marts["customers"])
+        customer = dimension("dim_customer", credits.select(*CUSTOMER_KEYS).distinct(), "id_cliente_PK",
+                             CUSTOMER_KEYS, lambda: dim_customer(credits))
+        status = dimension("dim_status", customers.select(*STATUS_FLAGS).distinct(), "id_status_t5",
+                           STATUS_FLAGS, lambda: dim_status(customers))
+        rating = dimension("dim_rating", rating_domain(credits, customers, payments), "id_calificacion_sk",
+                           ["calificacion"], lambda: dim_rating(credits, customers, payments))
+        product = dimension("dim_product", credits.select(*PRODUCT_PAIR).distinct(), "id_producto_PK",
+                            PRODUCT_PAIR, lambda: dim_product(credits))
+        state = dimension("dim_payment_state", payments.select(*STATE_PAIR).distinct(), "id_estado_PK",
+                          STATE_PAIR, lambda: dim_payment_state(payments))
+        save("fact_credits", fact_credits(credits, customer, rating, product), ["fecha_corte"])
+        due = F.last_day("fecha_vencimiento_cuota")
+        paid = fact_payments(payments, customer, rating, state).withColumn("mes_vencimiento", due)
+        save("fact_payments", paid, ["mes_vencimiento"])
+        save("fact_customers", fact_customers(customers, customer, status, rating))
+        save("fact_income", fact_income(marts["income"]))
+        save("fact_balance", fact_balance(marts["balance"]))
+        save("dim_calendar", dim_calendar([df for name, df in out.items() if name.startswith("fact_")]))
+    rows["balance"] = n_balance.get["rows"]
+    out["load_guard"] = load_guard(
+        spark, {f"fact_{t}": (rows[t], rows[f"fact_{t}"]) for t in ("credits", "payments", "customers", "balance")}
+    )
     return out

@@ -7,7 +7,7 @@ zero in a difference, unless both sides are blank.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -81,6 +81,34 @@ def loan_months(
     return credits.groupBy(*by, month.alias(MONTH)).agg(*loan_sums(rating_col))
 
 
+SLICES = {
+    "segment": "segmento", "zone": "zona_geografica", "officer": "oficial_credito",
+    "product": "producto_crediticio",
+}
+
+
+def slice_months(
+    credits: DataFrame, slices: Mapping[str, str] = SLICES, date_col: str = "fecha_corte"
+) -> DataFrame:
+    """Monthly loan sums of every slice and of the total, from one pass over the fact.
+
+    Rows are (``slice``, ``slice_value``, month): the name of the slice and its value, or
+    ``total`` and NULL. The loans are first summed per combination of all slices, on the map
+    side; only these few rows are repeated for the grouping sets.
+    """
+    columns = list(slices.values())
+    base = loan_months(credits, columns, date_col)
+    figures = [c for c in base.columns if c not in (*columns, MONTH)]
+    sets = [[MONTH], *[[MONTH, c] for c in columns]]
+    named = [F.when(F.grouping(c) == 0, F.lit(name)) for name, c in slices.items()]
+    # Of the slice columns all but the grouped one are NULL in a row.
+    value = F.coalesce(*[F.col(c).cast("string") for c in columns])
+    grouped = base.groupingSets(sets, MONTH, *columns).agg(
+        F.coalesce(*named, F.lit("total")).alias("slice"), *[F.sum(f).alias(f) for f in figures]
+    )
+    return grouped.select("slice", value.alias("slice_value"), MONTH, *figures)
+
+
 INCOME_SUMS = [
     "utilidad_neta", "margen_financiero_bruto", "gasto_provisiones_periodo", "castigos_periodo",
 ]

@@ -22,6 +22,12 @@ INCOME_DROPPED = {
     "otros_gastos_operativos", "otras_perdidas_operacionales", "otros_gastos",
 }
 
+# Customer columns that are replaced by what the loans say, and where that stands.
+RECOMPUTED = {
+    "provision_total_cliente": "provisions", "el_total_cliente": "expected_loss",
+    "tasa_nominal_promedio": "weighted_rate", "ingresos_anuales": "first_income",
+}
+
 
 def mart_credits(loans: DataFrame) -> DataFrame:
     """Loan panel without excluded rows, typed, with repaired days and sector."""
@@ -104,10 +110,10 @@ def mart_customers(
     repaired = clean.fix_company_age(clean.impute_rating(joined))
     out = repaired.withColumns({
         "sector_economico": normalize_sector("sector_economico"),
-        "provision_total_cliente": replace_if_differs("provision_total_cliente", "provisions"),
-        "el_total_cliente": replace_if_differs("el_total_cliente", "expected_loss"),
-        "tasa_nominal_promedio": replace_if_differs("tasa_nominal_promedio", "weighted_rate"),
-        "ingresos_anuales": replace_if_differs("ingresos_anuales", "first_income"),
+        **{
+            own: replace_if_differs(own, source, kind=CUSTOMER_TYPES[own])
+            for own, source in RECOMPUTED.items()
+        },
         "tasa_endeudamiento_sistema_pct": clean.debt_to_income("exposure", "income"),
         "es_cliente_preferente": clean.preferred_flag("rating", "tenure_months", "n_loans"),
     })

@@ -112,6 +112,19 @@ RAW_COLUMNS: dict[str, list[str]] = {
     ],
 }
 
+# Declared types of the cells of each raw table, and the columns that name a row.
+RAW_TYPES: dict[str, dict[str, str]] = {
+    "loans": LOAN_TYPES,
+    "income": {"fecha_mes": DAY, "mes": WHOLE, "ano": WHOLE, **{c: RATE for c in INCOME_AMOUNTS}},
+    "balance": {"fecha_mes": DAY, "mes": WHOLE, "ano": WHOLE, **{c: MONEY for c in BALANCE_AMOUNTS}},
+    "payments": {**PAYMENT_TYPES, "es_pago_anticipado": FLAG},
+    "customers": CUSTOMER_TYPES,
+}
+RAW_KEYS = {
+    "loans": ["id_credito", "fecha_corte"], "income": ["fecha_mes"], "balance": ["fecha_mes"],
+    "payments": ["id_pago"], "customers": ["id_cliente"],
+}
+
 # --- fixed values: columns each audit profiles ------------------------------------------
 LOAN_NUMERIC = [
     "plazo_meses", "monto_aprobado", "saldo_capital", "tasa_nominal_anual_pct",
@@ -195,6 +208,21 @@ RATING_BANDS: list[tuple[str, int, int | None]] = [
     ("Normal", 0, 0), ("Potencial", 1, 15), ("Deficiente", 16, 45),
     ("Dudoso", 46, 90), ("Pérdida", 91, None),
 ]
+# --- fixed values: components of the reported totals -------------------------------------
+INCOME_PARTS = ["ing_intereses_cartera", "ing_intereses_inversiones", "ing_intereses_interbancarios",
+                "ing_comisiones_ganadas", "ing_utilidades_financieras", "ing_servicios", "otros_ingresos"]
+COST_PARTS = ["gasto_intereses_depositos", "gasto_intereses_obligaciones", "gasto_comisiones_pagadas"]
+OPEX_PARTS = ["gasto_personal", "gasto_honorarios", "gasto_instalaciones", "gasto_publicidad",
+              "gasto_sistemas_tecnologia", "gasto_depreciacion", "gasto_amortizacion",
+              "otros_gastos_operativos"]
+EQUITY_PARTS = ["capital_social", "reserva_legal", "reserva_especial", "superavit_valuaciones",
+                "utilidad_acumulada_ejercicio"]
+ASSET_PARTS = ["fondos_disponibles", "operaciones_interbancarias_activo", "inversiones", "cartera_bruta",
+               "cuentas_por_cobrar", "bienes_realizables_adjudicados", "propiedades_y_equipos", "otros_activos"]
+LIABILITY_PARTS = ["total_obligaciones_publico", "operaciones_interbancarias_pasivo",
+                   "obligaciones_financieras_bde_cfn", "cuentas_por_pagar", "otros_pasivos"]
+DEPOSIT_PARTS = ["depositos_vista", "depositos_ahorro", "depositos_plazo", "depositos_restringidos"]
+
 PERFORMING = ["Normal", "Vigente"]
 IN_ARREARS = ["Pérdida", "Deficiente", "Dudoso"]
 POLICY_FLAGS = ["EXCLUIR_PROCESO_JUDICIAL", "EXCLUIR_CREDITO_EMPLEADO"]

@@ -1,5 +1,12 @@
-from .raw import RawTables, read_raw
-from .sinks import mart_view, write_table
-from .staging import stage, staging_root
+from .raw import Loaded, RawTables, load_raw, read_raw
+from .sinks import (
+    counted, mart_view, publish_table, read_published, replace_partitions, versions, write_bucketed, write_counted,
+    write_table,
+)
+from .staging import delete_folder, stage, staging_root, temporary_stages
 
-__all__ = ["RawTables", "mart_view", "read_raw", "stage", "staging_root", "write_table"]
+__all__ = [
+    "Loaded", "RawTables", "counted", "delete_folder", "load_raw", "mart_view", "publish_table", "read_published",
+    "read_raw", "replace_partitions", "stage", "staging_root", "temporary_stages", "versions", "write_bucketed",
+    "write_counted", "write_table",
+]

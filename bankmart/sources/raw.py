@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Mapping, Sequence
 
-from bankmart.functions import blank_to_null
-from bankmart.schemas import RAW_COLUMNS, text_schema
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from bankmart.functions import as_type, blank, blank_to_null
+from bankmart.schemas import RAW_COLUMNS, RAW_KEYS, RAW_TYPES, TEXT, text_schema
+from bankmart.sources.staging import stage
+
+BAD_LINE = "_bad_line"
+
+
+# How the source system writes its files: missing cells as \\N, empty ones as "".
+CSV = {"encoding": "UTF-8", "nullValue": "\\N", "emptyValue": "", "mode": "PERMISSIVE"}
 
 
 @dataclass(frozen=True)
@@ -35,14 +44,63 @@ def read_raw(
     """
     schema = text_schema(table)
     if fmt == "csv":
-        reader = spark.read.schema(schema).options(
-            header=True, encoding="UTF-8", nullValue="\\N", emptyValue="", mode="PERMISSIVE",
-            enforceSchema=False,
-        )
-        df = reader.csv(path)
+        df = spark.read.schema(schema).options(**CSV, header=True, enforceSchema=False).csv(path)
     else:
         df = spark.read.format(fmt).load(path)
         df = df.select(*[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS[table]])
     if empty_as_null:
         df = df.select(*[blank_to_null(c).alias(c) for c in df.columns])
     return df
+
+
+@dataclass(frozen=True)
+class Loaded:
+    """A raw table split at the read: rows of the right shape, and everything rejected."""
+
+    good: DataFrame
+    rejects: DataFrame
+
+
+def load_raw(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    types: Mapping[str, str] | None = None,
+    keys: Sequence[str] | None = None,
+    header: bool = True,
+) -> Loaded:
+    """Parse the CSV files of a raw table once into good rows and rejects.
+
+    A line with too few or too many cells is no row of the table: it is rejected whole. A
+    cell that does not convert to its declared type is listed, and its row stays good (the
+    cleaned table will hold NULL there). ``rejects`` has the keys as text, ``kind`` (``line`` or
+    ``cell``), ``field`` and ``dirty_value``; for a line the keys are those of its first cells that
+    are there, the field is missing, and the value is the line as it was read.
+
+    The parsed rows are written with their faults, so good rows and rejects come from one
+    parse of the files. The header of every file is checked.
+    """
+    types, keys = types or RAW_TYPES[table], keys or RAW_KEYS[table]
+    columns = RAW_COLUMNS[table]
+    schema = T.StructType([*text_schema(table), T.StructField(BAD_LINE, T.StringType())])
+    parsed = spark.read.schema(schema).options(
+        **CSV, header=header, enforceSchema=False, columnNameOfCorruptRecord=BAD_LINE
+    ).csv(path)
+    staged = stage(parsed.withColumn("_cells", bad_cells(types)), f"raw-{table}")
+    whole = F.col(BAD_LINE).isNull()
+    line = F.array(F.struct(
+        F.lit("line").alias("kind"), F.lit(None).cast(TEXT).alias("field"), F.col(BAD_LINE).alias("dirty_value")
+    ))
+    faults = staged.select(*keys, F.inline(F.when(whole, F.col("_cells")).otherwise(line)))
+    return Loaded(staged.where(whole).select(*columns), faults)
+
+
+def bad_cells(types: Mapping[str, str]) -> Column:
+    """Array of (kind, field, dirty_value) of a row's non-empty cells that do not convert."""
+    return F.array_compact(F.array(*[
+        F.when(
+            ~blank(c) & as_type(c, kind).isNull(),
+            F.struct(F.lit("cell").alias("kind"), F.lit(c).alias("field"), F.col(c).alias("dirty_value")),
+        )
+        for c, kind in types.items() if kind != TEXT
+    ]))

@@ -8,9 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_TEMPORARY: ContextVar[list[str] | None] = ContextVar("temporary_stages", default=None)
+
 
 def staging_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``.
@@ -28,8 +33,38 @@ def staging_root(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once under the staging folder and return a scan of the written table."""
+    """Write ``df`` once under the staging folder and return a scan of the written table.
+
+    The folder is removed at the end of the surrounding ``temporary_stages``, if there is one.
+    """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    opened = _TEMPORARY.get()
+    if opened is not None:
+        opened.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the file system that its path belongs to, if it is there."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables staged within the block at its end, whether it fails or not.
+
+    What is built within it must have been written by then: a DataFrame that still reads a staged
+    table cannot be used after the block. Blocks can be nested.
+    """
+    paths: list[str] = []
+    before = _TEMPORARY.set(paths)
+    try:
+        yield
+    finally:
+        _TEMPORARY.reset(before)
+        for path in paths:
+            delete_folder(spark, path)

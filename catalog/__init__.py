@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-SECTIONS = ["quality", "cleaning", "model", "kpis", "primitives"]
+SECTIONS = ["quality", "reports", "cleaning", "model", "loading", "kpis", "primitives"]
 
 
 def all_queries():

@@ -53,7 +53,8 @@ SELECT CAST(k AS STRING) AS id_credito, CAST(ck AS STRING) AS id_cliente,
   CAST(CAST(impuesto * 100 AS DECIMAL(18,4)) AS STRING) AS spread_pct,
   CAST(CAST(impuesto * 50 AS DECIMAL(18,4)) AS STRING) AS costo_fondos_pct,
   CAST(linea AS STRING) AS numero_cuotas_vencidas,
-  CASE WHEN k % 13 = 0 THEN 'Normal' WHEN dias <= 0 THEN 'Normal' WHEN dias <= 15 THEN 'Potencial'
+  CASE WHEN k % 73 = 0 THEN 'Pérdida' WHEN k % 13 = 0 THEN 'Normal' WHEN k % 59 = 0 THEN 'Potencial' WHEN k % 61 = 0 THEN 'Deficiente'
+       WHEN k % 67 = 0 THEN 'Dudoso' WHEN k % 71 = 0 THEN 'Pérdida' WHEN dias <= 0 THEN 'Normal' WHEN dias <= 15 THEN 'Potencial'
        WHEN dias <= 45 THEN 'Deficiente' WHEN dias <= 90 THEN 'Dudoso' ELSE 'Pérdida' END AS calificacion_sbs,
   CAST(k % 5 AS STRING) AS tasa_provision_pct,
   CAST(CAST(provision * 1.10 AS DECIMAL(18,2)) AS STRING) AS provision_requerida,
@@ -78,7 +79,7 @@ SELECT CAST(k AS STRING) AS id_credito, CAST(ck AS STRING) AS id_cliente,
   CAST(ck % 30 AS STRING) AS edad_empresa_anos,
   CASE WHEN k % 9 = 0 THEN '1' ELSE '0' END AS en_castigo,
   CASE WHEN k % 9 = 0 THEN CAST(saldo AS STRING) ELSE '0' END AS monto_castigado,
-  CAST(dias AS STRING) AS dias_atraso,
+  CASE WHEN k % 73 = 0 THEN '90' ELSE CAST(dias AS STRING) END AS dias_atraso,
   CASE k % 6 WHEN 0 THEN 'AGRICULTURA' WHEN 1 THEN 'comercio ' WHEN 2 THEN 'Salud'
        WHEN 3 THEN 'construccion' WHEN 4 THEN 'Transporte' ELSE NULL END AS sector_economico,
   CASE WHEN k % 41 = 0 THEN 'EXCLUIR_PROCESO_JUDICIAL' WHEN k % 43 = 0 THEN 'EXCLUIR_CREDITO_EMPLEADO' ELSE NULL END AS flag_error
@@ -113,7 +114,7 @@ FROM (SELECT *, CAST(l_extendedprice AS DECIMAL(18,2)) AS x,
 """
 
 RAW_CUSTOMERS = """
-SELECT CASE WHEN c_custkey % 67 = 0 THEN '' WHEN c_custkey % 73 = 0 THEN '30/02/1996' ELSE '1995-01-31' END AS fecha_primer_credito,
+SELECT CASE WHEN c_custkey % 67 = 0 THEN '' WHEN c_custkey % 73 = 0 THEN '30/02/1996' ELSE CAST(last_day(CAST(concat(CAST(1992 + c_custkey % 7 AS STRING), '-', lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'), '-01') AS DATE)) AS STRING) END AS fecha_primer_credito,
   CASE WHEN c_custkey % 79 = 0 THEN NULL ELSE '2001-11-30' END AS fecha_ultimo_corte,
   CAST(c_custkey AS STRING) AS id_cliente,
   CASE WHEN c_custkey % 3 = 0 THEN 'Natural' ELSE 'Jurídica' END AS tipo_persona,

@@ -96,6 +96,13 @@ for name, by in [("kpi_arrears_rate", "segmento"), ("kpi_arrears_rate_zone", "zo
     query(name, f"{by}:s fecha_mes:s portfolio:m in_arrears:m performing:m arrears_rate:r previous:r diff:r",
           lambda t, by=by: kpi.kpi_arrears_rate(kpi.loan_months(t.mart_credits, [by]), [by]),
           f"SELECT *, value AS arrears_rate FROM ({series(RATE, f'(SELECT *, fecha_corte AS fecha_mes FROM ({loan_sums(f'{by}, fecha_corte')}) s)', by=by)}) z")
+SLICED = " UNION ALL ".join(
+    f"SELECT '{name}' AS slice, CAST({c or 'NULL'} AS STRING) AS slice_value, fecha_corte AS fecha_mes, * EXCLUDE ({f'{c}, ' if c else ''}fecha_corte) "
+    f"FROM ({loan_sums(f'{c}, fecha_corte' if c else 'fecha_corte')}) s"
+    for name, c in [*kpi.SLICES.items(), ("total", None)])
+query("kpi_arrears_all_slices", "slice:s slice_value:s fecha_mes:s portfolio:m in_arrears:m performing:m arrears_rate:r previous:r diff:r",
+      lambda t: kpi.kpi_arrears_rate(kpi.slice_months(t.mart_credits), ["slice", "slice_value"]),
+      f"SELECT *, value AS arrears_rate FROM ({series(RATE, f'({SLICED})', by='slice, slice_value')}) z")
 STAR = "producto_crediticio"
 query("kpi_arrears_rate_star", f"{STAR}:s fecha_mes:s portfolio:m in_arrears:m performing:m arrears_rate:r previous:r diff:r",
       lambda t: kpi.kpi_arrears_rate(kpi.loan_months(galaxy.star_credits(

@@ -306,23 +306,10 @@ query("dq_net_income_audit",
       f"{d2('participacion_trabajadores_15pct')} AS share, {d2('impuesto_renta_25pct')} AS tax, "
       f"{d2('utilidad_neta')} AS reported FROM {{income}}) x WHERE abs(reported - (result - share - tax)) > 1")
 
-INCOME_PARTS = ["ing_intereses_cartera", "ing_intereses_inversiones", "ing_intereses_interbancarios",
-                "ing_comisiones_ganadas", "ing_utilidades_financieras", "ing_servicios", "otros_ingresos"]
-COST_PARTS = ["gasto_intereses_depositos", "gasto_intereses_obligaciones", "gasto_comisiones_pagadas"]
-OPEX_PARTS = ["gasto_personal", "gasto_honorarios", "gasto_instalaciones", "gasto_publicidad",
-              "gasto_sistemas_tecnologia", "gasto_depreciacion", "gasto_amortizacion",
-              "otros_gastos_operativos"]
-EQUITY_PARTS = ["capital_social", "reserva_legal", "reserva_especial", "superavit_valuaciones",
-                "utilidad_acumulada_ejercicio"]
-ASSET_PARTS = ["fondos_disponibles", "operaciones_interbancarias_activo", "inversiones", "cartera_bruta",
-               "cuentas_por_cobrar", "bienes_realizables_adjudicados", "propiedades_y_equipos", "otros_activos"]
-LIABILITY_PARTS = ["total_obligaciones_publico", "operaciones_interbancarias_pasivo",
-                   "obligaciones_financieras_bde_cfn", "cuentas_por_pagar", "otros_pasivos"]
-DEPOSIT_PARTS = ["depositos_vista", "depositos_ahorro", "depositos_plazo", "depositos_restringidos"]
 for name, reported, parts in [
-    ("dq_component_sum", "total_ingresos", INCOME_PARTS),
-    ("dq_component_sum_cost", "total_gastos_financieros", COST_PARTS),
-    ("dq_component_sum_opex", "total_gastos_operativos", OPEX_PARTS),
+    ("dq_component_sum", "total_ingresos", S.INCOME_PARTS),
+    ("dq_component_sum_cost", "total_gastos_financieros", S.COST_PARTS),
+    ("dq_component_sum_opex", "total_gastos_operativos", S.OPEX_PARTS),
 ]:
     query(name, "fecha_mes:s " + GAP,
           lambda t, reported=reported, parts=parts: rules.component_sum(
@@ -330,10 +317,10 @@ for name, reported, parts in [
           gap_sql("income", d2(reported), plus(parts), "WHERE abs(reported - recomputed) > 1",
                   "abs(reported - recomputed)"))
 for name, reported, parts, minus, order in [
-    ("dq_component_sum_equity", "total_patrimonio", EQUITY_PARTS, [], ["fecha_mes"]),
-    ("dq_component_sum_assets", "total_activos", ASSET_PARTS, ["provisiones_acumuladas"], ["fecha_mes"]),
-    ("dq_component_sum_liabilities", "total_pasivos", LIABILITY_PARTS, [], ["fecha_mes"]),
-    ("dq_component_sum_deposits", "total_obligaciones_publico", DEPOSIT_PARTS, [], [F.desc]),
+    ("dq_component_sum_equity", "total_patrimonio", S.EQUITY_PARTS, [], ["fecha_mes"]),
+    ("dq_component_sum_assets", "total_activos", S.ASSET_PARTS, ["provisiones_acumuladas"], ["fecha_mes"]),
+    ("dq_component_sum_liabilities", "total_pasivos", S.LIABILITY_PARTS, [], ["fecha_mes"]),
+    ("dq_component_sum_deposits", "total_obligaciones_publico", S.DEPOSIT_PARTS, [], [F.desc]),
 ]:
     less = f" - ({plus(minus)})" if minus else ""
     query(name, "fecha_mes:s " + GAP,
@@ -345,9 +332,9 @@ ONE_MONTH = "1998-09-30"
 query("dq_component_sum_one_month", "fecha_mes:s " + GAP,
       lambda t: rules.component_sum(
           rules.point_lookup(t.balance, "fecha_mes", [ONE_MONTH],
-                             ["fecha_mes", "total_patrimonio", *EQUITY_PARTS]),
-          "total_patrimonio", EQUITY_PARTS, ["fecha_mes"], absolute=True),
-      gap_sql("balance", d2("total_patrimonio"), plus(EQUITY_PARTS), f"WHERE fecha_mes = '{ONE_MONTH}'",
+                             ["fecha_mes", "total_patrimonio", *S.EQUITY_PARTS]),
+          "total_patrimonio", S.EQUITY_PARTS, ["fecha_mes"], absolute=True),
+      gap_sql("balance", d2("total_patrimonio"), plus(S.EQUITY_PARTS), f"WHERE fecha_mes = '{ONE_MONTH}'",
               "abs(reported - recomputed)"))
 query("dq_point_lookup", "fecha_mes:s utilidad_neta:m",
       lambda t: rules.point_lookup(t.income, "fecha_mes", ["1997-08-31", "1998-05-31"],
@@ -440,13 +427,15 @@ query("dq_lookup_candidates", "id_cliente:s segmento:s candidate:s",
       "SELECT c.id_cliente, c.segmento, l.oficial_credito AS candidate FROM {customers} c LEFT JOIN (SELECT DISTINCT "
       "id_cliente, oficial_credito, segmento FROM {loans}) l ON c.id_cliente = l.id_cliente "
       "WHERE c.oficial_credito IS NULL AND c.segmento = l.segmento")
-PROBE = {"id_cliente": ["101", "462", "501", "1115", "1455"], "moneda": ["USD"]}
+# Balances as they are written, of single loans at each size of the given tables.
+PROBE = {"id_cliente": ["8", "101", "462", "501", "1115", "1455"],
+         "saldo_capital": ["102061.09", "102491.25", "10300.89", "103180.26", "100828.68", "12011.34", "100408.61", "101151.77"]}
 query("dq_key_value_probe", "id_cliente:s id_credito:s fecha_corte:s monto_aprobado:s saldo_capital:s balance:m",
       lambda t: domains.key_value_probe(
           t.loans, PROBE, ["id_cliente", "id_credito", "fecha_corte", "monto_aprobado", "saldo_capital",
                            F.abs(as_money("saldo_capital")).alias("balance")]),
       f"SELECT id_cliente, id_credito, fecha_corte, monto_aprobado, saldo_capital, abs({d2('saldo_capital')}) AS balance "
-      "FROM {loans} WHERE id_cliente IN ('101', '462', '501', '1115', '1455') AND moneda IN ('USD')")
+      f"FROM {{loans}} WHERE id_cliente IN ({', '.join(map(repr, PROBE['id_cliente']))}) AND saldo_capital IN ({', '.join(map(repr, PROBE['saldo_capital']))})")
 query("dq_flag_rederive", FREQ, lambda t: rules.flag_rederive(t.customers),
       f"SELECT CASE WHEN {whole('max_dias_atraso')} > 0 AND {whole('num_creditos_activos')} > 0 THEN '1' ELSE '0' END "
       "AS value, count(*) AS freq FROM {customers} GROUP BY 1")

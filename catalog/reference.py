@@ -125,7 +125,7 @@ TABLES["mart_customers"] = (
     "abs(saldo_total_deuda) AS saldo_total_deuda, abs(saldo_mora_total) AS saldo_mora_total, tasa_mora_cliente_pct, "
     "CASE WHEN abs(provision_total_cliente - provisions) > 0.01 THEN provisions ELSE provision_total_cliente END AS provision_total_cliente, "
     "CASE WHEN abs(el_total_cliente - expected_loss) > 0.01 THEN expected_loss ELSE el_total_cliente END AS el_total_cliente, "
-    "CASE WHEN abs(tasa_nominal_promedio - weighted_rate) > 0.01 THEN weighted_rate ELSE tasa_nominal_promedio END AS tasa_nominal_promedio, "
+    "CASE WHEN abs(tasa_nominal_promedio - weighted_rate) > 0.01 THEN CAST(CAST(weighted_rate AS DECIMAL(28,6)) AS DECIMAL(18,4)) ELSE tasa_nominal_promedio END AS tasa_nominal_promedio, "
     "CASE WHEN abs(ingresos_anuales - f.v) > 0.01 THEN f.v ELSE ingresos_anuales END AS ingresos_anuales, "
     "exposure / nullif(income, 0) * 100 AS tasa_endeudamiento_sistema_pct, "
     "CASE WHEN rating = 'Normal' AND tenure_months > 24 AND n_loans > 1 THEN 1 ELSE 0 END AS es_cliente_preferente "

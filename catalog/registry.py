@@ -105,8 +105,10 @@ class Tables:
 
     @cached_property
     def dim_rating(self) -> DataFrame:
-        dim = galaxy.dim_rating(self.staged_credits, self.mart_customers, self.mart_payments)
-        return stage(dim, "dim_rating")
+        # Payments are read where they have been written; otherwise the optimizer derives their
+        # ratings without the joins of the cleaned table.
+        payments = self.__dict__.get("staged_payments", self.mart_payments)
+        return stage(galaxy.dim_rating(self.staged_credits, self.mart_customers, payments), "dim_rating")
 
     @cached_property
     def dim_product(self) -> DataFrame:
