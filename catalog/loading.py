@@ -137,15 +137,15 @@ def customers_seen(t) -> DataFrame:
 
 
 for name, columns, by, sql in [
-    ("month", "fecha_corte:s ", ["fecha_corte"], "fecha_corte"),
-    ("quarter", "quarter:s ", [F.trunc("fecha_corte", "quarter").alias("quarter")], "CAST(date_trunc('quarter', fecha_corte) AS DATE) AS quarter"),
-    ("segment", "segmento:s ", ["segmento"], "segmento"),
-    ("all", "", [], ""),
+    ("month", "fecha_corte:s ", "fecha_corte", "fecha_corte"),
+    ("quarter", "quarter:s ", "trunc(fecha_corte, 'quarter') AS quarter", "CAST(date_trunc('quarter', fecha_corte) AS DATE) AS quarter"),
+    ("segment", "segmento:s ", "segmento", "segmento"),
+    ("all", "", "", ""),
 ]:
     names = [c.split(":")[0] for c in columns.split()]
     query(f"distinct_customers_{name}", f"{columns}n_keys:n",
           lambda t, by=by, names=names: keys.distinct_estimates(
-              customers_seen(t).select(*by, "keys_seen") if by else customers_seen(t), names),
+              customers_seen(t).selectExpr(*[by] * bool(by), "keys_seen"), names),
           f"SELECT {sql + ', ' if sql else ''}count(DISTINCT id_cliente) AS n_keys FROM {{mart_credits}}{' GROUP BY ALL' if sql else ''}")
 
 # --- co-located facts --------------------------------------------------------------------
