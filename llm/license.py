@@ -1,9 +1,10 @@
 """License scans by conditional compression.
 
-Every template that shares with a candidate block the run of words which any fit must have is
-aligned with it and confirmed by the words in which the two differ. A block compressed with a
-confirmed template as raw dictionary shows the bytes that the notice saves. SPDX tags are read as
-expressions.
+A candidate block is compressed by itself and again with each notice that could be there as
+raw dictionary. Notices are ranked by the bytes that they save; all that save any are confirmed by
+the words in which the text differs from them. Of those confirmed at one place the one counts
+that saves most bytes of that stretch, less the bytes that it needs itself given the stretch. A
+notice could be at a place if they share a run of words that no allowed difference would break. SPDX tags are read as expressions.
 """
 
 from __future__ import annotations
@@ -112,6 +113,8 @@ _TELLING = re.compile(r"\d|attribution|commercial|deriv|sharealike|affero|lesser
 _TAG = re.compile(r"SPDX-License-Identifier\s*:[ \t]*", re.I)
 _TERM = re.compile(r"[ \t(]*([A-Za-z0-9][A-Za-z0-9.\-]*[A-Za-z0-9]\+?)[ \t)]*")
 _OPERATOR = re.compile(r"(AND|OR|WITH)[ \t(]+")
+#: Level of compression, and the size of a block that it is tuned for.
+LEVEL, BLOCK = 3, 4096
 #: Part of a template's words that may differ; words from which on a template is a body, with names of its own filled in.
 DIFFERENT, BODY = 0.12, 60
 
@@ -171,7 +174,6 @@ class Scanner:
         import zstandard as z
 
         self.z = z
-        self.plain = z.ZstdCompressor(level=3, write_content_size=False)
         self.known, self.seeds, self.primed, self.pairs = [], {}, {}, set()
         for name, texts in TEMPLATES.items():
             for text in texts:
@@ -184,14 +186,25 @@ class Scanner:
                     self.seeds.setdefault(run, {}).setdefault(words[at : at + run], set()).add((k, at))
                     self.pairs.add(words[at : at + 2])
 
-    def saving(self, data: bytes, template: str) -> float:
-        """Part of the block's bytes that the template as dictionary saves."""
+    def compressor(self, template: str):
+        """Compressor with a template as raw dictionary; an empty one is none."""
         if template not in self.primed:
             if len(self.primed) > 1000:
                 self.primed.clear()
-            made = self.z.ZstdCompressionDict(template.lower().encode(), dict_type=self.z.DICT_TYPE_RAWCONTENT)
-            self.primed[template] = self.z.ZstdCompressor(level=3, dict_data=made, write_content_size=False, write_dict_id=False)
-        return (len(self.plain.compress(data)) - len(self.primed[template].compress(data))) / len(data)
+            sizes = self.z.ZstdCompressionParameters.from_level(LEVEL, source_size=BLOCK, dict_size=len(template), write_content_size=False, write_dict_id=False)
+            made = self.z.ZstdCompressionDict(template.lower().encode(), dict_type=self.z.DICT_TYPE_RAWCONTENT) if template else None
+            if made:
+                made.precompute_compress(compression_params=sizes)
+            self.primed[template] = self.z.ZstdCompressor(dict_data=made, compression_params=sizes)
+        return self.primed[template]
+
+    def saved(self, block: bytes, template: str) -> int:
+        """Bytes of a block that a template saves as dictionary."""
+        return len(self.compressor("").compress(block)) - len(self.compressor(template).compress(block))
+
+    def gain(self, stretch: str, template: str) -> int:
+        """Bytes of a stretch that a template saves, less those of the template that the stretch leaves open."""
+        return self.saved(stretch.lower().encode(), template) - len(self.compressor(stretch).compress(template.lower().encode()))
 
     def block(self, text: str) -> list[tuple[str, float, int, list[str]]]:
         """Confirmed licenses of a block: name, saving, word differences, the words that differ."""
@@ -203,30 +216,54 @@ class Scanner:
                 for run, seeds in self.seeds.items():
                     for k, at in seeds.get(tuple(words[i : i + run]), ()):
                         places.add((k, i - at))
-        fits, tried = set(), set()
+        ends = [w.end() for w in found]
+        starts = [w.start() for w in found]
+        ranked = []
         for k, at in places:
-            template = self.known[k][1]
-            if at >= 0 and tuple(words[at : at + len(template)]) == template:
-                fits.add((at, at + len(template), 0, k, ()))
-                continue
-            spare = _allowed(len(template))
-            low, high = max(0, at - spare), min(len(words), at + len(template) + spare)
-            for start, end, differ in aligned(words[low:high], template, spare) if (k, low, high) not in tried else ():
-                own = words[low + start : low + end]
-                apart = set(own) ^ set(template)
-                if not any(map(_TELLING.search, apart if len(template) < BODY else set(template) - set(own))):
-                    fits.add((low + start, low + end, differ, k, tuple(sorted(apart))))
-            tried.add((k, low, high))
-        # The longest notice of a place counts, then the next of what is left over.
-        data = text.lower().encode()
+            # The candidate block of a notice: as many words as it has, where it would lie.
+            low, high = max(0, at), min(len(words), at + len(self.known[k][1]))
+            block = text[starts[low] : ends[high - 1]].lower().encode()
+            saved = self.saved(block, self.known[k][2])
+            if saved > 0:
+                ranked.append((-saved, k, at))
+        fits, tried = {}, set()
+        for _, k, at in sorted(ranked):
+            for low, high, differ, apart in self.confirmed(words, k, at, tried):
+                if (k, low, high) not in fits:
+                    gain = self.gain(text[starts[low] : ends[high - 1]], self.known[k][2])
+                    fits[k, low, high] = (-gain, differ, low, high, k, apart)
+        # A place goes to the notice that gains most of the stretch that it is found in.
         out, taken = [], bytearray(len(words))
-        for low, high, differ, k, apart in sorted(fits, key=lambda f: (f[2] - len(self.known[f[3]][1]), f[2], f[0], f[3])):
+        for _, differ, low, high, k, apart in sorted(fits.values()):
             if not any(taken[low:high]):
                 taken[low:high] = b"\1" * (high - low)
-                out.append((low, self.known[k][0], self.known[k][2], differ, list(apart)))
+                out.append((low, high, self.known[k][0], self.known[k][2], differ, list(apart)))
         for at, name in tags(text):
-            out.append((bisect_right([w.start() for w in found], at) - 1, name, f"SPDX-License-Identifier: {name}", 0, []))
-        return [(name, self.saving(data, template), differ, apart) for _, name, template, differ, apart in sorted(out, key=lambda f: f[:2])]
+            low = bisect_right(starts, at) - 1
+            out.append((low, low + 1, name, f"SPDX-License-Identifier: {name}", 0, []))
+        rows = []
+        for low, high, name, template, differ, apart in sorted(out, key=lambda f: (f[0], f[2])):
+            stretch = text[starts[low] : ends[high - 1]].lower().encode()
+            rows.append((name, self.saved(stretch, template) / len(stretch), differ, apart))
+        return rows
+
+    def confirmed(self, words: list[str], k: int, at: int, tried: set) -> list[tuple[int, int, int, tuple[str, ...]]]:
+        """(low, high, differences, differing words) where a block holds a template near ``at``, but for allowed differences."""
+        template = self.known[k][1]
+        if at >= 0 and tuple(words[at : at + len(template)]) == template:
+            return [(at, at + len(template), 0, ())]
+        spare = _allowed(len(template))
+        low, high = max(0, at - spare), min(len(words), at + len(template) + spare)
+        if (k, low, high) in tried:
+            return []
+        tried.add((k, low, high))
+        fits = []
+        for start, end, differ in aligned(words[low:high], template, spare):
+            own = words[low + start : low + end]
+            apart = set(own) ^ set(template)
+            if not any(map(_TELLING.search, apart if len(template) < BODY else set(template) - set(own))):
+                fits.append((low + start, low + end, differ, tuple(sorted(apart))))
+        return fits
 
 
 def aligned(words: list[str], template: tuple[str, ...], most: int) -> list[tuple[int, int, int]]:
@@ -260,9 +297,10 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, start, length, license, saving, word_differences, differing_words of every notice.
 
     ``start`` and ``length`` are code points of the block within the whole text. Texts without a
-    cue give no rows, as null and empty ones; repeated rows are scanned as rows of their own.
-    Of templates that fit one place the one with most words alike counts; a notice that is there
-    several times gives as many rows.
+    cue give no rows, as null and empty ones and an empty table do; very long texts are scanned
+    whole, in blocks around cues; repeated rows are scanned as rows of their own; other columns are not read.
+    Of templates that fit one place the one that gains most bytes there counts; a notice that is
+    there several times gives as many rows. ``saving`` is the part of the notice's bytes that its template saves as dictionary.
     """
     kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("license", pa.string()), ("saving", pa.float64()), ("word_differences", pa.int32()), ("differing_words", pa.list_(pa.string()))]))
 
