@@ -6,8 +6,9 @@ to the next virtual node clockwise. A shard holds at most its share of all bytes
 sizes are near equal whatever the keys, and a change moves little.
 
 A row's place is the hash of its text, so equal texts lie together. A cell over a small part
-of a shard is cut into pieces by a hash of the id: a text that holds a third of all rows
-spreads over the following nodes. Placing works on cell totals (bounded in number), never on rows.
+of a shard is cut into pieces by a hash of the id and the written row number: a text that holds
+a third of all rows spreads over the following nodes, even if all these rows are alike. Placing
+works on cell totals (bounded in number), never on rows.
 """
 
 from __future__ import annotations
@@ -79,14 +80,14 @@ def assign(docs: DataFrame, shards: int = 16) -> DataFrame:
 
     Size is the text's UTF-8 bytes plus 1 (null counts as empty, and its crc32 is that of the
     empty text). Equal texts share a shard unless they overflow it. Rows alike in id and text
-    may be numbered in either order; null ids are placed like any other; an empty table gives
-    no rows; other columns are not read.
+    may be numbered in either order, and are parted where they are too heavy; null ids are placed
+    like any other; very long texts count whole; an empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text"))
     rows = text.select(
         "doc_id", (F.octet_length("_text") + 1).cast("long").alias("size"), F.crc32(F.col("_text").cast("binary")).alias("text_crc32"),
-        _cell().alias("cell"), F.xxhash64(F.lit("piece"), "doc_id", F.xxhash64("_text")).alias("mark"),
+        _cell().alias("cell"), F.xxhash64(F.lit("piece"), "doc_id", F.xxhash64("_text")).alias("mark"), F.monotonically_increasing_id().alias("row"),
     )
     rows = stage(rows, "sharding-rows")
     # Bounded: one row per cell.
@@ -98,7 +99,7 @@ def assign(docs: DataFrame, shards: int = 16) -> DataFrame:
     cuts = [(r.cell, max(1, int(-(-s // 1)))) for r, s in zip(heavy, share)]
     cut = spark.createDataFrame(cuts, "cell int, pieces int")
     # At most one row per cell: a bounded broadcast.
-    cut_rows = rows.join(F.broadcast(cut), "cell").withColumn("piece", F.pmod("mark", "pieces").cast("int"))
+    cut_rows = rows.join(F.broadcast(cut), "cell").withColumn("piece", F.pmod(F.xxhash64("mark", "row"), F.col("pieces")).cast("int"))
     # Bounded: cells and twice PIECES * shards pieces.
     totals = cut_rows.groupBy("cell", "piece").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()
     where = place([(r.cell, r.piece, r.bytes) for r in totals], shards)
@@ -108,7 +109,7 @@ def assign(docs: DataFrame, shards: int = 16) -> DataFrame:
         placed.append((r.cell, r.piece, shard, first[shard]))
         first[shard] += r.n
     plan = spark.createDataFrame(placed, "cell int, piece int, shard int, before long")
-    order = Window.partitionBy("cell", "piece").orderBy("mark", "doc_id")
+    order = Window.partitionBy("cell", "piece").orderBy("mark", "doc_id", "row")
     numbered = cut_rows.withColumn("_place", F.row_number().over(order) - 1)
     out = numbered.join(F.broadcast(plan), ["cell", "piece"])
     return out.select("doc_id", "size", "text_crc32", "shard", (F.col("before") + F.col("_place")).cast("long").alias("slot"))
