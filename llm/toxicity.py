@@ -14,9 +14,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from llm.common import bounded_labels, free_name, map_texts
+from llm.common import ROWS_AT_ONCE, bounded_labels, free_name, map_texts
 
 BITS = 20
 STEM = 4
@@ -104,8 +105,9 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> list[tuple[in
     """Sparse weights as (bucket, weight); bucket ``2 ** BITS`` is the intercept.
 
     ``labels`` has doc_id and toxic (0 or 1; null labels are skipped, of contradicting labels
-    of one id the larger counts). At most ``MAX_TRAIN_ROWS`` labelled rows are learned from, so
-    the broadcast of their ids and the single training task are bounded whatever the input.
+    of one id the larger counts). At most ``MAX_TRAIN_ROWS`` labelled ids are learned from, one
+    row of each (that of the smallest text hash), so the broadcast of the ids and the single training
+    task are bounded whatever the input, and repeated rows crowd nothing out.
     Without labelled rows the model is empty and every score is 0.5.
     """
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("_toxic"))
@@ -113,23 +115,31 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> list[tuple[in
     id_type, body = docs.schema["doc_id"].dataType, docs.select("doc_id", F.col(f"`{text}`").alias("_text"))
     train = body.join(F.broadcast(picked.select(F.col("doc_id").cast(id_type), "_toxic")), "doc_id")
 
-    def compute():
-        hashes = _Hashes()
-
-        def run(texts):
-            return [pa.array([np.unique(np.concatenate(features(hashes, t))).astype(np.int32) for t in texts], pa.list_(pa.int32()))]
-
-        return run
-
-    rows = map_texts(train, "_text", [StructField("_buckets", ArrayType(IntegerType()))], compute, ["doc_id", "_toxic"])
-    rows = rows.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", F.size("_buckets"))
-    most, intercept = MAX_TRAIN_ROWS, 1 << BITS
+    def featured(batches):
+        """Of each picked id in a task the row of the smallest text hash, with its features."""
+        hashes, found = _Hashes(), {}
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                for doc, body, toxic in zip(*(c.to_pylist() for c in batch.slice(at, ROWS_AT_ONCE).columns)):
+                    mark = xxhash.xxh64_intdigest(body or "") >> 1
+                    if doc not in found or mark < found[doc][0]:
+                        found[doc] = mark, toxic, np.unique(np.concatenate(features(hashes, body))).astype(np.int32)
+        for doc, (mark, toxic, buckets) in found.items():
+            yield pa.RecordBatch.from_arrays([pa.array([doc], id_arrow), pa.array([mark]), pa.array([toxic], pa.int32()), pa.array([buckets], pa.list_(pa.int32()))], names=["doc_id", "mark", "toxic", "buckets"])
+
+    id_arrow = to_arrow_type(id_type)
+    schema = StructType([StructField("doc_id", id_type), StructField("mark", LongType()), StructField("toxic", IntegerType()), StructField("buckets", ArrayType(IntegerType()))])
+    rows = train.select("doc_id", "_text", "_toxic").mapInArrow(featured, schema)
+    # One row of each picked id, whatever the number of its rows: no more than ids were picked.
+    rows = rows.groupBy("doc_id").agg(F.min_by(F.struct("toxic", "buckets"), "mark").alias("row")).select("doc_id", "row.toxic", "row.buckets")
+    rows = rows.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
+    intercept = 1 << BITS
 
     def learn(batches):
         sample = []
         for batch in batches:
             buckets, toxic = batch.column(2), batch.column(1).to_pylist()
-            for i in range(min(batch.num_rows, most - len(sample))):
+            for i in range(batch.num_rows):
                 own = buckets[i].values.to_numpy(zero_copy_only=False)
                 sample.append((np.append(own, intercept).astype(np.int32), toxic[i]))
         if sample:
@@ -175,8 +185,8 @@ def training_labels(labels: DataFrame) -> DataFrame:
 def toxicity_filter(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFrame:
     """Documents scored under ``limit``, with all their columns.
 
-    Null and empty texts have no features, so their score is that of the intercept alone.
-    Repeated rows get equal scores and stay or go together; an empty table gives no rows.
+    Null and empty texts have no features, so their score is that of the intercept alone. Very
+    long texts are read whole. Repeated rows get equal scores and stay or go together; an empty table gives no rows.
     """
     name = free_name(docs, "_toxicity")
     scored = score(docs, fit(docs, training_labels(labels)), name=name)
