@@ -4,8 +4,8 @@ Prefix sums of the turns' tokens choose spans of whole turns. Each window starts
 turn, repeats as much recent history as its limits allow, then brings new turns. Assistant turns
 are targets where they are new; repeated ones are masked, so each is learned once.
 
-Turns of a conversation stream through a task in order, so a conversation of any length needs
-the memory of one window only.
+Tokens are counted where the turns lie. Then the turns of a conversation stream through a task in
+order, so a conversation of any length needs the memory of one window only.
 """
 
 from __future__ import annotations
@@ -15,9 +15,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from hashlib import sha256
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 #: Tokens of a window, and of the history that it repeats at most.
 BUDGET, HISTORY = 1024, 256
@@ -112,49 +113,66 @@ def format_windows(conversations: DataFrame, tokenizer: str, budget: int = BUDGE
 
     ``loss_spans`` are code point ranges of the formatted text that are targets; ``repeated``
     counts the leading turns that were in an earlier window. A system turn is retained if it is
-    the conversation's first. A turn over the budget gets a window of its own, whole. Null
+    the conversation's first, and a system turn over the budget puts every window over it. A turn over
+    the budget gets a window of its own, whole. Ids of any type and size come out as they are. Null
     roles and texts count as empty; rows with one turn number go by role and text, then as repeated rows;
     a null conv_id is a conversation of its own; an empty table gives no rows; other columns are not read.
     """
     schema = StructType.fromDDL("conv_id long, window int, text string, loss_spans array<array<int>>, repeated int, tokens int")
     schema = StructType([StructField("conv_id", conversations.schema["conv_id"].dataType), *schema.fields[1:]])
     columns = ["conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")]
-    rows = conversations.select(*columns).repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    counted = _with_tokens(conversations.select(*columns), tokenizer)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from tokenizers import Tokenizer
-
-        model = Tokenizer.from_file(tokenizer)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current: _Windows | None = None
         started = False
-        for frame in frames:
-            turns = [(r, *format_turn(r, t)) for r, t in zip(frame["role"], frame["text"])]
-            sizes = []
-            for at in range(0, len(turns), AT_ONCE):
-                part = [t[1] for t in turns[at : at + AT_ONCE]]
-                sizes += [len(e.ids) for e in model.encode_batch_fast(part, add_special_tokens=False)]
-            out = []
-            for conv, turn, size in zip(frame["conv_id"].tolist(), turns, sizes):
-                conv = None if conv is None or conv != conv else int(conv)
-                if not started or conv != current.conv:
-                    if started:
-                        out.append(current.close())
-                    current, started = _Windows(conv, budget, history), True
-                if done := current.add((*turn, size)):
-                    out.append(done)
-            if out:
-                yield pd.DataFrame(out).astype({"conv_id": "Int64"})
+
+        def out(done: list[dict]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist(done, kinds)
+
+        for batch in batches:
+            done = []
+            for at in range(0, batch.num_rows, AT_ONCE):
+                for conv, _, role, text, size in zip(*(c.to_pylist() for c in batch.slice(at, AT_ONCE).columns)):
+                    if not started or conv != current.conv:
+                        if started:
+                            done.append(current.close())
+                        current, started = _Windows(conv, budget, history), True
+                    if window := current.add((role, *format_turn(role, text), size)):
+                        done.append(window)
+            if done:
+                yield out(done)
         if started:
-            yield pd.DataFrame([current.close()]).astype({"conv_id": "Int64"})
+            yield out([current.close()])
+
+    kinds = to_arrow_schema(schema)
+    return counted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(run, schema)
+
+
+def _with_tokens(turns: DataFrame, tokenizer: str) -> DataFrame:
+    """conv_id, turn, role, text and the tokens of the formatted turn, counted where the turns lie."""
+    schema = StructType([*turns.schema.fields, StructField("tokens", IntegerType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from tokenizers import Tokenizer
+
+        model = Tokenizer.from_file(tokenizer)
+        for batch in batches:
+            for at in range(0, batch.num_rows, AT_ONCE):
+                part = batch.slice(at, AT_ONCE)
+                formatted = [format_turn(r, t)[0] for r, t in zip(part.column(2).to_pylist(), part.column(3).to_pylist())]
+                sizes = [len(e.ids) for e in model.encode_batch_fast(formatted, add_special_tokens=False)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sizes, pa.int32())], names=schema.names)
 
-    return rows.mapInPandas(run, schema)
+    return turns.mapInArrow(run, schema)
 
 
 def read_back(windows: DataFrame) -> DataFrame:
     """Digests of each conversation, from its formatted windows and loss masks alone."""
     schema = StructType([windows.schema["conv_id"], *StructType.fromDDL("n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long").fields])
+    kinds = to_arrow_schema(schema)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = None
         done: list[dict] = []
 
@@ -162,28 +180,28 @@ def read_back(windows: DataFrame) -> DataFrame:
             if state:
                 done.append({"conv_id": state["id"], "n_turns": state["n"], "turns_sha256": state["turns"].hexdigest(), "loss_chars": state["chars"], "loss_sha256": state["loss"].hexdigest(), "formatted_chars": state["all"]})
 
-        for frame in frames:
-            for conv, text, spans, repeated in zip(frame["conv_id"].tolist(), frame["text"], frame["loss_spans"], frame["repeated"]):
-                conv = None if conv is None or conv != conv else int(conv)
-                if state is None or state["id"] != conv:
-                    finish()
-                    state = {"id": conv, "n": 0, "turns": sha256(), "loss": sha256(), "chars": 0, "all": 0}
-                state["all"] += len(text)
-                for role, body, _, _ in parse(text)[repeated:]:
-                    state["n"] += 1
-                    state["turns"].update(f"{role}\n{body}\n".encode())
-                for begin, end in spans:
-                    target = unescape(text[begin:end])
-                    state["chars"] += len(target)
-                    state["loss"].update(target.encode())
+        for batch in batches:
+            for at in range(0, batch.num_rows, AT_ONCE):
+                for conv, text, spans, repeated in zip(*(c.to_pylist() for c in batch.slice(at, AT_ONCE).columns)):
+                    if state is None or state["id"] != conv:
+                        finish()
+                        state = {"id": conv, "n": 0, "turns": sha256(), "loss": sha256(), "chars": 0, "all": 0}
+                    state["all"] += len(text)
+                    for role, body, _, _ in parse(text)[repeated:]:
+                        state["n"] += 1
+                        state["turns"].update(f"{role}\n{body}\n".encode())
+                    for begin, end in spans:
+                        target = unescape(text[begin:end])
+                        state["chars"] += len(target)
+                        state["loss"].update(target.encode())
             if done:
-                yield pd.DataFrame(done).astype({"conv_id": "Int64"})
-                done = []
+                yield pa.RecordBatch.from_pylist(done, kinds)
+                done.clear()
         finish()
         if done:
-            yield pd.DataFrame(done).astype({"conv_id": "Int64"})
+            yield pa.RecordBatch.from_pylist(done, kinds)
 
-    return windows.select("conv_id", "text", "loss_spans", "repeated").mapInPandas(run, schema)
+    return windows.select("conv_id", "text", "loss_spans", "repeated").mapInArrow(run, schema)
 
 
 def with_probe(conversations: DataFrame) -> DataFrame:
