@@ -4,8 +4,8 @@ Slot i of the mix has the golden-ratio point frac(i * phi), which falls into a s
 the cumulative weights. A source's slots, ranked, take the blocks of its shuffled documents in
 turn, over and over, until its target is met. Built-in SQL functions only.
 
-Prefix sums run in two levels, over buckets and within a bucket, so that a source with a third
-of all rows, or of all slots, never lies in one task.
+Prefix sums run in two levels, over range partitions and within one, so that a source, or an id,
+with a third of all rows or of all slots never lies in one task.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from bankmart.sources import stage
 from llm.common import free_name, trimmed, word_array
 
-#: Words of a block, documents of a bucket, slots of a chunk.
-BLOCK, BUCKET, CHUNK = 256, 2000, 4096
+#: Words of a block, documents of a range partition, slots of a chunk.
+BLOCK, BUCKET, CHUNK = 256, 10_000, 4096
 MOST_REPEATS = 3
 #: Golden ratio conjugate as a fraction of 2**32, so that points are exact integers.
 GOLDEN, UNIT = 2654435769, 1 << 32
@@ -58,14 +58,20 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     return stage(docs.select("doc_id", source.alias("source"), words.alias("size"), F.monotonically_increasing_id().alias("row")), "mixing-rows")
 
 
-def positions(rows: DataFrame, buckets: int) -> DataFrame:
-    """``start``: words before a document in its source's shuffled stream (order of md5(doc_id))."""
+def positions(rows: DataFrame, parts: int) -> DataFrame:
+    """``start``: words before a document in its source's shuffled stream (order of md5(doc_id), size, row).
+
+    Rows are put in that order by range partitions and written with their place. The row number
+    comes last in the order, so a source, an id or null ids with most rows are cut like any others.
+    """
     mark = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    cut = rows.select("*", mark.alias("mark")).withColumn("bucket", F.floor(F.conv(F.substring("mark", 1, 8), 16, 10).cast("long") * buckets / UNIT))
+    order = [F.col(c) for c in ("source", "mark", "size", "row")]
+    ranged = rows.select("*", mark.alias("mark")).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    cut = stage(ranged.withColumn("place", F.monotonically_increasing_id()), "mixing-order").withColumn("bucket", F.shiftright("place", 33))
     sums = cut.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
     so_far = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = stage(sums.select(F.col("source").alias("_s"), F.col("bucket").alias("_b"), F.coalesce(F.sum("n").over(so_far), F.lit(0)).alias("_before")), "mixing-buckets")
-    inner = Window.partitionBy("source", "bucket").orderBy("mark", "size", "row").rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("source", "bucket").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     placed = cut.withColumn("_in", F.coalesce(F.sum("size").over(inner), F.lit(0)))
     met = placed.join(sums, F.col("source").eqNullSafe(F.col("_s")) & (F.col("bucket") == F.col("_b")))
     return met.select("doc_id", "source", "size", "row", (F.col("_before") + F.col("_in")).alias("start"))
@@ -138,34 +144,39 @@ def mix(rows: DataFrame, targets: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = measured(docs, text)
     targets = stage(source_targets(rows), "mixing-targets")
-    taken = mix(rows, targets).groupBy("row").agg(F.sum("length").alias("taken"))
+    taken = mix(rows, targets).groupBy("row").agg(F.sum("length").alias("taken"), F.min("slot").alias("first_slot"))
     goal = targets.select(F.col("source").alias("_s"), "source_size", "target")
     out = rows.join(taken, "row", "left").join(goal, F.col("source").eqNullSafe(F.col("_s")))
-    return out.select("row", "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    return out.select("row", "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot")
 
 
 def mixing_report(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken of every document.
+    """doc_id, size, source_size, target, taken, first_slot (in the schedule) of every document.
 
-    Null, empty and blank texts have size 0 and are never taken; a null source is a source
-    like any other, and comes last. Equal or null ids are shuffled by size, then by row.
-    Repeated rows are rows of their own; an empty table gives no rows; other columns are not read.
+    Null, empty and blank texts have size 0 and are never taken (their slot is null); a null source
+    is a source like any other, and comes last. Equal or null ids are shuffled by size, then by row.
+    Very long texts are cut into blocks like any others. Repeated rows are rows of their own; an
+    empty table gives no rows; other columns are not read.
     """
-    return mixed(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mixed(docs).select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def mixing_filter(docs: DataFrame) -> DataFrame:
-    """The documents as often as the mix holds them, with all their columns.
+    """The documents as often as the mix holds them and in its order, with all their columns.
 
-    A document counts whole: one of which at least half a pass is taken enters for that pass.
-    Wordless documents have nothing to take and leave.
+    A document counts whole: one of which at least half a pass is taken enters for that pass,
+    at the slot where the pass begins. Wordless documents have nothing to take and leave; null and
+    repeated ids are told apart by row; an empty table gives no rows; columns of any name pass through.
     """
-    row, times = free_name(docs, "_row"), free_name(docs, "_times")
+    row, slot = free_name(docs, "_row"), free_name(docs, "_slot")
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
     numbered = stage(numbered, "mixing-documents")
     rows = numbered.select("doc_id", F.col("source").cast("string").alias("source"), F.size(word_array(trimmed(F.col("text")))).cast("long").alias("size"), F.col(row).alias("row"))
     rows = stage(rows, "mixing-rows")
     targets = stage(source_targets(rows), "mixing-targets")
-    taken = mix(rows, targets).groupBy("row").agg(F.sum("length").alias("taken")).join(rows.select("row", "size"), "row")
-    often = taken.select(F.col("row").alias(row), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias(times)).where(F.col(times) > 0)
-    return numbered.join(often, row).withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    passes = mix(rows, targets).groupBy("row", "pass").agg(F.sum("length").alias("n"), F.min("slot").alias("slot"))
+    # At most MOST_REPEATS passes of a row.
+    taken = passes.groupBy("row").agg(F.sum("n").alias("taken"), F.sort_array(F.collect_list("slot")).alias("slots")).join(rows.select("row", "size"), "row")
+    times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
+    entered = taken.select(F.col("row").alias(row), F.explode(F.slice("slots", 1, times)).alias(slot))
+    return numbered.join(entered, row).orderBy(slot, row).select(*[F.col(f"`{c}`") for c in docs.columns])

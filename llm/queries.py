@@ -103,7 +103,7 @@ FROM f JOIN c{rounds} USING (c)"""
 
 
 # A source's stream is its documents by md5(doc_id); its first floor(target) words are taken,
-# over up to three passes. Slots and blocks only fix the order of the mix.
+# over up to three passes. A document's first slot is that of the block in which it begins.
 ORACLES = {
     "op11_hilbert_zones": _centroid_rounds(),
     "op10_golden_schedule": r"""
@@ -122,11 +122,32 @@ WITH d AS (
 ), p AS (
     SELECT doc_id, source, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), size
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins FROM d
+), b AS (
+    SELECT source, CAST(ceil(target / 256) AS BIGINT) AS blocks,
+        CAST(round(sum(target) OVER (ORDER BY source IS NULL, source) / sum(target) OVER () * 4294967296) AS BIGINT) AS high FROM t WHERE target > 0
+), b2 AS (
+    SELECT *, lag(high, 1, 0) OVER (ORDER BY high, source IS NULL, source) AS low FROM b
+), n AS (
+    SELECT CAST(floor(sum(blocks) * 1.02) AS BIGINT) + 64 * count(*) AS length FROM b
+), m AS (
+    SELECT i AS slot, source, blocks, row_number() OVER (PARTITION BY source ORDER BY i) - 1 AS block
+    FROM n, range(length) AS r(i) JOIN b2 ON i * 2654435769 % 4294967296 >= low AND i * 2654435769 % 4294967296 < high
+), e AS (
+    SELECT source, blocks, coalesce(reached, 0) AS reached, length + coalesce(sum(blocks - coalesce(reached, 0)) OVER (
+        ORDER BY source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS late
+    FROM n, b LEFT JOIN (SELECT source AS s, least(count(*), any_value(blocks)) AS reached FROM m GROUP BY s) g ON source IS NOT DISTINCT FROM s
+), u AS (
+    SELECT slot, source, block FROM m WHERE block < blocks
+    UNION ALL
+    SELECT CAST(late + k AS BIGINT), source, reached + k FROM e, range(blocks - reached) AS r(k)
+), x AS (
+    SELECT doc_id, size, p.source AS source, begins, source_size, target, CAST(
+        greatest(0, least(begins + size, floor(target)) - begins)
+        + greatest(0, least(begins + size + source_size, floor(target)) - begins - source_size)
+        + greatest(0, least(begins + size + 2 * source_size, floor(target)) - begins - 2 * source_size) AS BIGINT) AS taken
+    FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
 )
-SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target, CAST(
-    greatest(0, least(begins + size, floor(target)) - begins)
-    + greatest(0, least(begins + size + source_size, floor(target)) - begins - source_size)
-    + greatest(0, least(begins + size + 2 * source_size, floor(target)) - begins - 2 * source_size) AS BIGINT) AS taken
-FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
+SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target, taken, CASE WHEN taken > 0 THEN slot END AS first_slot
+FROM x LEFT JOIN u ON x.source IS NOT DISTINCT FROM u.source AND u.block = CAST(begins AS BIGINT) // 256
 """,
 }

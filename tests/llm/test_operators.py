@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -17,6 +17,7 @@ from llm import ann, chat, langid, license, mixing, packing, quality, sharding,
 
 DOCS = StructType([StructField("doc_id", LongType()), StructField("text", StringType()), StructField("lang", StringType()), StructField("source", StringType())])
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def sentence(rng, n):
@@ -287,7 +288,7 @@ def test_ring_moves_little():
     rng = random.Random(6)
     pieces = [(c, 0, rng.randrange(900, 1100)) for c in range(0, sharding.CELLS, 3)]
     before, after = sharding.place(pieces, 16), sharding.place(pieces, 17)
-    assert sum(before[k] != after[k] for k in before) / len(before) < 0.45
+    assert sum(before[k] != after[k] for k in before) / len(before) < 0.12
 
 
 def test_ann_recall_and_order(spark):
@@ -461,3 +462,144 @@ def test_quality_rejects_each_statistic_alone(spark):
     assert {n: out[400 + k].kept for k, n in enumerate(planted)} == dict.fromkeys(planted, False)
     assert all(out[406 + k].kept for k in range(3))
     assert sum(not out[i].kept for i in range(400)) <= 2
+
+
+def zstd_size(data, template=None):
+    import zstandard as z
+
+    sizes = z.ZstdCompressionParameters.from_level(3, source_size=4096, dict_size=len(template or ""), write_content_size=False, write_dict_id=False)
+    known = z.ZstdCompressionDict(template.lower().encode(), dict_type=z.DICT_TYPE_RAWCONTENT) if template else None
+    if known:
+        known.precompute_compress(compression_params=sizes)
+    return len(z.ZstdCompressor(dict_data=known, compression_params=sizes).compress(data))
+
+
+def test_license_compression_chooses(monkeypatch):
+    """Savings by hand; a notice that saves nothing is not looked at; of two at one place the one that gains more."""
+    scanner = license.Scanner()
+    mit, zero = license.TEMPLATES["MIT"][1], license.TEMPLATES["MIT-0"][0]
+    for name, text in (("MIT", mit), ("MIT-0", zero)):
+        block = license._WORD.sub(lambda m: m.group(), text).rstrip(".").lower().encode()
+        (found,) = scanner.block(f"Some words before it. {text} And some behind.")
+        assert found[0] == name and found[2] == 0
+        assert found[1] == (zstd_size(block) - zstd_size(block, text)) / len(block) > 0.5
+    gains = {t: zstd_size(zero.lower().encode()) - zstd_size(zero.lower().encode(), t) - zstd_size(t.lower().encode(), zero) for t in (mit, zero)}
+    assert gains[zero] > gains[mit]
+    real = license.Scanner.saved
+    monkeypatch.setattr(license.Scanner, "saved", lambda self, block, template: 0 if template == zero else real(self, block, template))
+    assert [f[0] for f in license.Scanner().block(zero)] != ["MIT-0"]
+
+
+def test_license_with_differences(spark):
+    """Notices with words changed, left out or put in, as many as may differ and one more."""
+    notice = "Distributed under the Boost Software License, Version 1.0."
+    body = license.TEMPLATES["BSD-2-Clause"][1]
+    rng, rows, want = random.Random(6), [], set()
+    for i in range(40):
+        words = body.split()
+        spots = [k for k in range(3, len(words) - 3) if not license._TELLING.search(words[k].lower()) and words[k].isalpha()]
+        allowed = int(0.12 * len(license._WORD.findall(body)))
+        n = rng.choice([0, 1, 2, 4])
+        for k in rng.sample(spots[:: max(1, len(spots) // 8)], n):
+            words[k] = rng.choice([f"zz{k}", words[k] + f" yy{k}", f"xx{k}"])
+        assert n <= allowed
+        rows.append((i, "A tool. " + " ".join(words) + " The end.", None, None))
+        want.add((i, "BSD-2-Clause", n))
+    rows += [(100, notice, None, None), (101, notice.replace("Boost", "Bust"), None, None), (102, "", None, None), (103, None, None, None)]
+    got = {(r.doc_id, r.license, r.word_differences) for r in license.scan(spark.createDataFrame(rows, DOCS)).collect()}
+    assert want <= got and (100, "BSL-1.0", 0) in got and not any(i in (101, 102, 103) for i, _, _ in got)
+
+
+def test_chat_ids_stay_exact(spark):
+    """Ids beyond doubles beside a null id, and a null conversation with a third of all rows."""
+    ids = [2**53 + 1, 2**53 + 2, None, 2**53 + 3, -(2**60) - 1]
+    rows = [(i, t, "user" if t % 2 else "assistant", f"turn {t} of {i}") for i in ids for t in range(4)] + [(None, t, "assistant", f"word {t}") for t in range(4, 14)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    got = {r.conv_id: r for r in chat.read_back(chat.format_windows(frame, BYTE_BPE)).collect()}
+    assert set(got) == set(ids) and got[None].n_turns == 14
+    for i in ids:
+        own = sorted((t, r, x) for c, t, r, x in rows if c == i)
+        assert got[i].turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in own).encode()).hexdigest()
+    words = frame.selectExpr("concat('c', coalesce(cast(conv_id AS string), '')) AS conv_id", "turn", "role", "text", "role AS tokens", "text AS window")
+    assert {r.conv_id for r in chat.read_back(chat.format_windows(words, BYTE_BPE)).collect()} == {f"c{i if i is not None else ''}" for i in ids}
+
+
+def test_toxicity_repeated_rows_crowd_nothing_out(spark):
+    rng = random.Random(9)
+    kind = lambda i: rng.choice(["vile", "scum", "filth"]) if i % 3 == 0 else rng.choice(["river", "stone", "light"])
+    rows = [(i, f"{sentence(rng, 6)} {kind(i)} {sentence(rng, 4)} {kind(i)}", "en", "a") for i in range(600)]
+    labels = spark.createDataFrame([(i, 0, int(i % 3 == 0)) for i in range(600)], "doc_id long, quality int, toxic int")
+    plain = toxicity.fit(spark.createDataFrame(rows, DOCS), toxicity.training_labels(labels))
+    more = rows + [rows[1]] * 5000 + [(2, "another text of this id", "en", "a")] * 500
+    crowded = spark.createDataFrame(more, DOCS).repartition(5)
+    scored = toxicity.toxicity_report(crowded, labels)
+    held = {r.doc_id: r.predicted for r in scored.where("held_out").collect()}
+    assert sum(held[i] == int(i % 3 == 0) for i in held) / len(held) > 0.97
+    assert len(plain) > 3
+
+
+def test_sharding_cuts_rows_that_are_alike(spark):
+    """A third of all rows alike in id and text, and null ids with equal texts: sizes stay near equal."""
+    rng = random.Random(10)
+    alike = [(7 if i % 2 else None, "the same long text " * 5, None, None) if i % 3 == 0 else (i, sentence(rng, 15), None, None) for i in range(6000)]
+    placed = sharding.assign(spark.createDataFrame(alike, DOCS).repartition(4)).collect()
+    loads, slots = Counter(), defaultdict(list)
+    for r in placed:
+        loads[r.shard] += r["size"]
+        slots[r.shard].append(r.slot)
+    share = sum(loads.values()) / 16
+    assert len(loads) == 16 and max(loads.values()) <= share * (1 + sharding.EXCESS) + max(r["size"] for r in placed)
+    assert min(loads.values()) > 0.98 * share and all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def plain_place(pieces, shards):
+    """Clockwise from its cell to the first virtual node whose shard has room."""
+    nodes = {}
+    for shard in range(shards):
+        for v in range(sharding.VIRTUAL):
+            cell = xxhash.xxh64_intdigest(f"node {shard} {v}") % sharding.CELLS
+            while cell in nodes:
+                cell = (cell + 1) % sharding.CELLS
+            nodes[cell] = shard
+    most = sum(b for _, _, b in pieces) / shards * (1 + sharding.EXCESS)
+    load, out = [0] * shards, {}
+    for cell, piece, size in sorted(pieces):
+        turn = [nodes[c % sharding.CELLS] for c in range(cell, cell + sharding.CELLS) if c % sharding.CELLS in nodes]
+        shard = next((s for s in turn if load[s] + size <= most), min(range(shards), key=lambda s: (load[s], s)))
+        load[shard] += size
+        out[cell, piece] = shard
+    return out
+
+
+def test_ring_by_hand_and_how_little_moves():
+    rng = random.Random(6)
+    pieces = [(c, 0, rng.randrange(900, 1100)) for c in range(0, sharding.CELLS, 3)]
+    before, after = sharding.place(pieces, 16), sharding.place(pieces, 17)
+    assert before == plain_place(pieces, 16) and after == plain_place(pieces, 17)
+    moved = sum(before[k] != after[k] for k in before) / len(before)
+    assert moved < 0.12, moved
+
+
+def test_mixing_splits_ids_that_are_alike(spark):
+    """A third of all rows without an id, and many with one id: positions are exact, by size, then row."""
+    rng = random.Random(11)
+    many = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, sentence(rng, rng.randrange(1, 30)), None, "a") for i in range(900)]
+    rows = mixing.measured(spark.createDataFrame(many, DOCS).repartition(4))
+    placed = sorted(mixing.positions(rows, 7).collect(), key=lambda r: r.start)
+    key = lambda r: (hashlib.md5(str(r.doc_id if r.doc_id is not None else "").encode()).hexdigest(), r["size"], r.row)
+    assert placed == sorted(placed, key=key)
+    assert [r.start for r in placed] == [sum(r["size"] for r in placed[:k]) for k in range(len(placed))]
+
+
+def test_mixing_filter_keeps_the_order_of_the_mix(spark):
+    rng = random.Random(12)
+    many = [(i, sentence(rng, 256), None, rng.choice("abb")) for i in range(120)]
+    out = mixing.mixing_filter(spark.createDataFrame(many, DOCS))
+    first = {}
+    for r in mixing.mixing_report(spark.createDataFrame(many, DOCS)).collect():
+        first[r.doc_id] = r.first_slot
+    order = []
+    for r in out.collect():
+        if r.doc_id not in order:
+            order.append(r.doc_id)
+    assert order == sorted(order, key=first.get)
