@@ -1,8 +1,8 @@
 """Quality rules: robust multivariate outliers by minimum covariance determinant.
 
 Each document becomes a vector of transformed statistics. Centre and covariance of each
-language and source come from the tightest part of its documents (concentration steps of the
-minimum covariance determinant), so junk does not widen the limits it is judged by. A
+language and source come from the tightest part of its documents: of several starts the one whose
+concentration steps reach the least covariance determinant, so junk does not widen the limits it is judged by. A
 document is rejected if its Mahalanobis distance is beyond the chi-square limit.
 
 Built-in SQL functions only. All statistics, estimates and verdicts cover all documents: the
@@ -22,10 +22,10 @@ from llm.common import SPACE, free_name, trimmed, word_array
 WINDOW = 8
 #: Part of a group that its estimates come from.
 CORE = 0.75
-#: Documents that a group needs for estimates of its own.
+#: Documents that a group needs for estimates of its own; smaller ones go by wider groups.
 LEAST_ROWS = 60
-#: Concentration steps after the start from quartiles.
-STEPS = 3
+#: Concentration steps from each start, most steps from the best one, and by how much a determinant's logarithm falls to count.
+STEPS, MOST_STEPS, FALL = 2, 12, 1e-4
 #: Chance of a distance beyond the limit in normal data.
 TAIL = 1e-3
 #: Per statistic: least deviation, added to each variance so that a group at zero is not singular. A third to
@@ -144,8 +144,9 @@ def _triangle(p: int) -> list[tuple[int, int]]:
     return [(i, j) for i in range(p) for j in range(i + 1)]
 
 
-def _inverse_factor(df: DataFrame, key: str) -> DataFrame:
-    """Columns ``a_i_j`` of a covariance to the array ``w``: inverse of its Cholesky factor."""
+def _inverse_factor(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Columns ``a_i_j`` of a covariance to the array ``w``, inverse of its Cholesky factor, and the
+    logarithm ``det`` of its determinant."""
     col = F.col
     for j in range(P):
         diagonal = col(f"a_{j}_{j}")
@@ -167,56 +168,110 @@ def _inverse_factor(df: DataFrame, key: str) -> DataFrame:
                 e = e + col(f"l_{i}_{k}") * col(f"w_{k}_{j}")
             new[f"w_{i}_{j}"] = -e / col(f"l_{i}_{i}")
         df = df.withColumns(new)
-    return df.select(key, "mu", F.array(*[f"w_{i}_{j}" for i, j in _triangle(P)]).alias("w"))
+    det = F.lit(0.0)
+    for i in range(P):
+        det = det + 2 * F.log(f"l_{i}_{i}")
+    return df.select(*keys, "mu", F.array(*[f"w_{i}_{j}" for i, j in _triangle(P)]).alias("w"), det.alias("det"))
 
 
-def fit(rows: DataFrame, group: str, x: list[str]) -> DataFrame:
-    """Robust estimates of each group: ``group``, ``mu`` (means), ``w`` (inverse factor).
+def starts(rows: DataFrame, group: str, x: list[str]) -> DataFrame:
+    """Three estimates to start from for each group: ``group``, ``start``, ``mu``, ``w``, ``det``.
 
-    ``rows`` has a text key ``group`` and the vector's columns ``x``. Starts from quartiles;
-    each step takes the documents of smallest distance (``CORE`` of the group, up to a class
-    of distances an eighth of a doubling wide) and computes their moments.
+    All are centred at the medians and scaled by the quartiles: without correlations, with those
+    of the directions from the centre, and with those of the bounded distances (tanh).
     """
     floors = list(FLOORS.values())
     quartiles = rows.groupBy(group).agg(*[F.percentile_approx(c, [0.25, 0.5, 0.75], 10000).alias(c) for c in x])
     scale = [F.greatest((F.col(c)[2] - F.col(c)[0]) / 1.349, F.lit(f)) for c, f in zip(x, floors)]
-    start = [1 / scale[i] if i == j else F.lit(0.0) for i, j in _triangle(P)]
-    params = quartiles.select(group, F.array(*[F.col(c)[1].cast("double") for c in x]).alias("mu"), F.array(*start).alias("w"))
+    known = quartiles.select(group, F.array(*[F.col(c)[1].cast("double") for c in x]).alias("mu"), F.array(*scale).alias("scale"))
+    known = stage(known, "quality-quartiles")
+    z = [(F.col(c) - F.col("mu")[i]) / F.col("scale")[i] for i, c in enumerate(x)]
+    scaled = rows.join(known, group).select(group, *[e.alias(f"z_{i}") for i, e in enumerate(z)])
+    length = F.sqrt(sum((F.col(f"z_{i}") * F.col(f"z_{i}") for i in range(P)), F.lit(0.0)))
+    forms = {1: [F.coalesce(F.try_divide(F.col(f"z_{i}"), length), F.lit(0.0)) for i in range(P)], 2: [F.tanh(f"z_{i}") for i in range(P)]}
+    seen = scaled.select(group, *[e.alias(f"y{k}_{i}") for k, form in forms.items() for i, e in enumerate(form)])
+    sums = seen.groupBy(group).agg(*[
+        F.sum(F.col(f"y{k}_{i}") * F.col(f"y{k}_{j}")).alias(f"q{k}_{i}_{j}") for k in forms for i, j in _triangle(P)
+    ])
+    # A statistic that never leaves its median has no correlation.
+    found = []
+    for k in (0, *forms):
+        cover = {}
+        for i, j in _triangle(P):
+            size = F.col("scale")[i] * F.col("scale")[j]
+            if i == j:
+                cover[f"a_{i}_{j}"] = size
+            elif k:
+                both = F.try_divide(F.col(f"q{k}_{i}_{j}"), F.sqrt(F.col(f"q{k}_{i}_{i}") * F.col(f"q{k}_{j}_{j}")))
+                cover[f"a_{i}_{j}"] = F.coalesce(both, F.lit(0.0)) * size
+            else:
+                cover[f"a_{i}_{j}"] = F.lit(0.0)
+        base = known.join(sums, group).select(group, F.lit(k).alias("start"), "mu", *[e.alias(n) for n, e in cover.items()])
+        found.append(_inverse_factor(base, [group, "start"]))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+def concentrated(rows: DataFrame, group: str, x: list[str], params: DataFrame) -> DataFrame:
+    """One concentration step of each ``start`` of ``params``: moments of the nearest ``CORE`` of a
+    group, up to a class of distances an eighth of a doubling wide. One row for each group, start,
+    class and map task is shuffled."""
+    floors = list(FLOORS.values())
     # The core has a smaller spread than the group it stands for.
     limit = chi_square_limit(CORE, P)
     wider = CORE / chi_square(limit, P + 2)
-    for step in range(STEPS + 1):
-        params = stage(params, f"quality-params-{step}")
-        if step == STEPS:
-            return params
-        d2 = distance_square([F.col(c) for c in x], F.col("mu"), F.col("w"))
-        near = rows.join(params, group).withColumn("_class", F.floor(8 * F.log2(F.least(F.greatest(d2, F.lit(1e-3)), F.lit(1e12)))).cast("int"))
-        sums = [F.count("*").alias("n")] + [F.sum(c).alias(f"s_{i}") for i, c in enumerate(x)]
-        sums += [F.sum(F.col(x[i]) * F.col(x[j])).alias(f"q_{i}_{j}") for i, j in _triangle(P)]
-        classes = near.groupBy(group, "_class").agg(*sums)
-        every = Window.partitionBy(group)
-        so_far = every.orderBy("_class").rowsBetween(Window.unboundedPreceding, -1)
-        core = classes.withColumn("_before", F.coalesce(F.sum("n").over(so_far), F.lit(0))).withColumn("_all", F.sum("n").over(every))
-        core = core.where(F.col("_before") < CORE * F.col("_all")).groupBy(group).agg(
-            F.sum("n").alias("n"), *[F.sum(f"s_{i}").alias(f"s_{i}") for i in range(P)],
-            *[F.sum(f"q_{i}_{j}").alias(f"q_{i}_{j}") for i, j in _triangle(P)],
-        )
-        mean = [F.col(f"s_{i}") / F.col("n") for i in range(P)]
-        cover = {}
-        for i, j in _triangle(P):
-            e = (F.col(f"q_{i}_{j}") / F.col("n") - mean[i] * mean[j]) * wider
-            cover[f"a_{i}_{j}"] = e + floors[i] ** 2 if i == j else e
-        params = _inverse_factor(core.select(group, F.array(*mean).alias("mu"), *[e.alias(k) for k, e in cover.items()]), group)
-    return params
+    d2 = distance_square([F.col(c) for c in x], F.col("mu"), F.col("w"))
+    near = rows.join(params.select(group, "start", "mu", "w"), group)
+    near = near.withColumn("_class", F.floor(8 * F.log2(F.least(F.greatest(d2, F.lit(1e-3)), F.lit(1e12)))).cast("int"))
+    sums = [F.count("*").alias("n")] + [F.sum(c).alias(f"s_{i}") for i, c in enumerate(x)]
+    sums += [F.sum(F.col(x[i]) * F.col(x[j])).alias(f"q_{i}_{j}") for i, j in _triangle(P)]
+    keys = [group, "start"]
+    classes = near.groupBy(*keys, "_class").agg(*sums)
+    every = Window.partitionBy(*keys)
+    so_far = every.orderBy("_class").rowsBetween(Window.unboundedPreceding, -1)
+    core = classes.withColumn("_before", F.coalesce(F.sum("n").over(so_far), F.lit(0))).withColumn("_all", F.sum("n").over(every))
+    core = core.where(F.col("_before") < CORE * F.col("_all")).groupBy(*keys).agg(
+        F.sum("n").alias("n"), *[F.sum(f"s_{i}").alias(f"s_{i}") for i in range(P)],
+        *[F.sum(f"q_{i}_{j}").alias(f"q_{i}_{j}") for i, j in _triangle(P)],
+    )
+    mean = [F.col(f"s_{i}") / F.col("n") for i in range(P)]
+    cover = {}
+    for i, j in _triangle(P):
+        e = (F.col(f"q_{i}_{j}") / F.col("n") - mean[i] * mean[j]) * wider
+        cover[f"a_{i}_{j}"] = e + floors[i] ** 2 if i == j else e
+    return _inverse_factor(core.select(*keys, F.array(*mean).alias("mu"), *[e.alias(k) for k, e in cover.items()]), keys)
+
+
+def fit(rows: DataFrame, group: str, x: list[str]) -> DataFrame:
+    """Minimum covariance determinant of each group: ``group``, ``mu`` (means), ``w`` (inverse factor).
+
+    ``rows`` has a text key ``group`` and the vector's columns ``x``. ``STEPS`` concentration
+    steps are taken from each of three starts; the one of least determinant goes on until that stops
+    falling in every group, ``MOST_STEPS`` at most.
+    """
+    params = stage(starts(rows, group, x), "quality-starts")
+    for step in range(STEPS):
+        params = stage(concentrated(rows, group, x, params), f"quality-step-{step}")
+    best = F.min_by(F.struct("mu", "w", "det"), F.struct("det", "start"))
+    params = stage(params.groupBy(group).agg(best.alias("b")).select(group, F.lit(0).alias("start"), "b.mu", "b.w", "b.det"), "quality-best")
+    falling = params
+    for step in range(MOST_STEPS):
+        new = concentrated(rows, group, x, falling).select(F.col(group).alias("_g"), F.struct("mu", "w", "det").alias("_n"))
+        met = params.join(new, F.col(group) == F.col("_g"), "left").withColumn("fell", F.coalesce(F.col("_n.det") < F.col("det") - FALL, F.lit(False)))
+        met = stage(met, f"quality-fall-{step}")
+        params = met.select(group, "start", *[F.when(F.col("fell"), F.col(f"_n.{c}")).otherwise(F.col(c)).alias(c) for c in ("mu", "w", "det")])
+        falling = met.where("fell").select(group, "start", "_n.mu", "_n.w", "_n.det")
+        if falling.isEmpty():
+            break
+    return params.select(group, "mu", "w")
 
 
 def judge(docs: DataFrame, text: str, keep: list[str]) -> tuple[DataFrame, str, str]:
     """Columns ``keep`` of ``docs`` with two structs, and the names of these.
 
-    The first has the statistics, the second ``base_failed``, ``distance`` and ``kept``. Small groups share the
-    estimates of their language's other small groups, then those of all small groups; if even
-    these are under ``LEAST_ROWS`` documents, nothing is called an outlier. Documents that fail the
-    base rules are rejected anyway and take no part in the estimates.
+    The first has the statistics, the second ``base_failed``, ``distance`` and ``kept``. A language and
+    source under ``LEAST_ROWS`` documents is judged by the estimates of its whole language, a language under
+    that by those of all documents; in a table under that nothing is called an outlier. Documents that fail
+    the base rules are rejected anyway and take no part in the estimates.
     """
     stats, verdict = free_name(docs, "_stats"), free_name(docs, "_verdict")
     own, wide = free_name(docs, "_own"), free_name(docs, "_wide")
@@ -226,14 +281,17 @@ def judge(docs: DataFrame, text: str, keep: list[str]) -> tuple[DataFrame, str,
     x = [f"x_{n}" for n in FLOORS]
     vectors = rows.where(~base_failed(s)).select(F.col(own).alias("own"), F.col(wide).alias("wide"), *[v.alias(f"x_{n}") for n, v in vector(s).items()])
     sizes = vectors.groupBy("own", "wide").agg(F.count("*").alias("n"))
-    small = F.col("n") < LEAST_ROWS
-    sizes = sizes.withColumn("_n", F.sum(F.when(small, F.col("n"))).over(Window.partitionBy("wide")))
-    level = F.when(~small, F.col("own")).when(F.col("_n") >= LEAST_ROWS, F.col("wide")).otherwise(F.lit("rest"))
-    groups = stage(sizes.select("own", level.alias("fitted"), "n"), "quality-groups")
-    params = fit(vectors.join(groups.select("own", "fitted"), "own"), "fitted", x)
-    enough = groups.groupBy("fitted").agg(F.sum("n").alias("_rows")).where(F.col("_rows") >= LEAST_ROWS)
-    limits = groups.join(params.join(enough, "fitted"), "fitted").select(F.col("own").alias("_limit_of"), "mu", "w")
-    limits = limits.select("_limit_of", F.struct("mu", "w").alias("_limits"))
+    language, every = Window.partitionBy("wide"), Window.partitionBy(F.lit(0))
+    enough = F.col("n") >= LEAST_ROWS
+    sizes = sizes.select("own", "wide", enough.alias("alone"), (F.sum("n").over(language) >= LEAST_ROWS).alias("known"), (F.sum("n").over(every) >= LEAST_ROWS).alias("some"))
+    level = F.when(F.col("alone"), F.concat(F.lit("own"), "own")).when(F.col("known"), F.concat(F.lit("language"), "wide")).when(F.col("some"), F.lit("all"))
+    groups = stage(sizes.select("own", "wide", level.alias("level")), "quality-groups")
+    # A group that is judged by a wider one makes all documents of that one count for it.
+    wanted = groups.select("level").distinct()
+    of = F.explode(F.array(F.concat(F.lit("own"), "own"), F.concat(F.lit("language"), "wide"), F.lit("all")))
+    members = groups.select("own", of.alias("level")).join(wanted, "level", "left_semi").select("own", F.col("level").alias("fitted"))
+    params = fit(vectors.join(stage(members, "quality-members"), "own"), "fitted", x)
+    limits = groups.join(params, F.col("level") == F.col("fitted")).select(F.col("own").alias("_limit_of"), F.struct("mu", "w").alias("_limits"))
     named = free_name(rows, "_limit_of"), free_name(rows, "_limits")
     limits = limits.toDF(*named)
     values = vector(s)
@@ -249,7 +307,7 @@ def judge(docs: DataFrame, text: str, keep: list[str]) -> tuple[DataFrame, str,
 def quality_report(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row per document: base statistics, ``base_failed``, ``distance``, ``kept``.
 
-    Null, empty and blank texts have no words and fail the base rules. A missing or null
+    Null, empty and blank texts have no words and fail the base rules; very long texts are read whole. A missing or null
     language or source is a group of its own. Ties: equal statistics get equal verdicts, so
     repeated rows do too. An empty table gives no rows. Other columns are not read.
     """

@@ -37,23 +37,52 @@ def statistics(text):
 
 
 def robust_estimates(x):
-    """Mean and inverse factor by the concentration steps, over all vectors of a group at once."""
+    """Mean and inverse factor of least determinant from three starts, over all vectors of a group at once."""
     floors = np.array(list(quality.FLOORS.values()))
     n, p = x.shape
     ordered = np.sort(x, axis=0)
     low, mid, high = (ordered[math.ceil(q * n) - 1] for q in (0.25, 0.5, 0.75))
-    mu, w = mid, np.diag(1 / np.maximum((high - low) / 1.349, floors))
+    scale = np.maximum((high - low) / 1.349, floors)
+    z = (x - mid) / scale
+    length = np.sqrt((z * z).sum(1, keepdims=True))
     limit = quality.chi_square_limit(quality.CORE, p)
     wider = quality.CORE / quality.chi_square(limit, p + 2)
-    for _ in range(quality.STEPS):
+
+    def estimate(mu, cover):
+        factor = np.zeros((p, p))
+        for j in range(p):
+            factor[j, j] = math.sqrt(max(cover[j, j] - (factor[j, :j] ** 2).sum(), floors[j] ** 2 / 4))
+            for i in range(j + 1, p):
+                factor[i, j] = (cover[i, j] - (factor[i, :j] * factor[j, :j]).sum()) / factor[j, j]
+        return 2 * np.log(np.diag(factor)).sum(), mu, np.linalg.inv(factor)
+
+    def step(_, mu, w):
         d2 = (((x - mu) @ w.T) ** 2).sum(1)
         classes = np.floor(8 * np.log2(np.clip(d2, 1e-3, 1e12)))
         before = np.array([(classes < c).sum() for c in classes])
         core = x[before < quality.CORE * n]
-        mu = core.mean(0)
-        cover = (core.T @ core / len(core) - np.outer(mu, mu)) * wider + np.diag(floors**2)
-        w = np.linalg.inv(np.linalg.cholesky(cover))
-    return mu, w
+        mean = core.mean(0)
+        return estimate(mean, (core.T @ core / len(core) - np.outer(mean, mean)) * wider + np.diag(floors**2))
+
+    found = []
+    for y in (None, np.where(length > 0, z / np.where(length > 0, length, 1), 0), np.tanh(z)):
+        alike = np.eye(p)
+        if y is not None:
+            q = y.T @ y
+            size = np.sqrt(np.outer(np.diag(q), np.diag(q)))
+            alike = np.where(size > 0, q / np.where(size > 0, size, 1), 0)
+            np.fill_diagonal(alike, 1)
+        own = estimate(mid, alike * np.outer(scale, scale))
+        for _ in range(quality.STEPS):
+            own = step(*own)
+        found.append(own)
+    best = min(found, key=lambda e: e[0])
+    for _ in range(quality.MOST_STEPS):
+        new = step(*best)
+        if new[0] >= best[0] - quality.FALL:
+            break
+        best = new
+    return best[1:]
 
 
 def quality_verdicts(docs):
@@ -69,23 +98,22 @@ def quality_verdicts(docs):
         ]
 
     x = np.array([vector(s) for s in stats])
-    own = Counter(d[2:4] for d, b in zip(docs, bad) if not b)
-    wide = Counter()
-    for group, n in own.items():
-        wide[group[0]] += n * (n < quality.LEAST_ROWS)
-    level = {g: g if n >= quality.LEAST_ROWS else g[0] if wide[g[0]] >= quality.LEAST_ROWS else "rest" for g, n in own.items()}
-    members = defaultdict(list)
-    for i, d in enumerate(docs):
-        if not bad[i]:
-            members[level[d[2:4]]].append(i)
+    good = [i for i, b in enumerate(bad) if not b]
+    own, wide = Counter(docs[i][2:4] for i in good), Counter(docs[i][2] for i in good)
+    least = quality.LEAST_ROWS
+    level = {g: g if own[g] >= least else g[0] if wide[g[0]] >= least else "all" for g in own}
+    judges = {
+        v: [i for i in good if v == "all" or v in (docs[i][2:4], docs[i][2])] for v in set(level.values())
+    }
     cut = quality.chi_square_limit(1 - quality.TAIL, x.shape[1])
     out = [(b, not b, None) for b in bad]
-    for own_rows in members.values():
-        if len(own_rows) >= quality.LEAST_ROWS:
-            mu, w = robust_estimates(x[own_rows])
-            for i in own_rows:
-                d2 = float((((x[i] - mu) @ w.T) ** 2).sum())
-                out[i] = (False, d2 <= cut, math.sqrt(d2))
+    for v, rows in judges.items():
+        if len(rows) >= least:
+            mu, w = robust_estimates(x[rows])
+            for i in good:
+                if level[docs[i][2:4]] == v:
+                    d2 = float((((x[i] - mu) @ w.T) ** 2).sum())
+                    out[i] = (False, d2 <= cut, math.sqrt(d2))
     return out
 
 

@@ -48,9 +48,13 @@ def test_all_are_registered():
     assert "pipeline" in QUERIES
 
 
-@pytest.mark.parametrize("sf_dir", [SMALL, MEDIUM])
+@pytest.mark.parametrize("sf_dir", [SMALL, MEDIUM, "/root/testdata/sf0.1"])
 def test_op1(spark, con, sf_dir):
+    """The largest table has languages and sources over and under the limit for estimates of their own."""
     docs = by_hand.tables(con, sf_dir, "documents", "doc_id, text, lang, source")
+    if sf_dir.endswith("sf0.1"):
+        sizes = Counter(d[2:4] for d in docs).values()
+        assert min(sizes) < quality.LEAST_ROWS < max(sizes)
     got = {r.doc_id: r for r in rows(spark, "op1_quality_mcd", sf_dir)}
     assert len(got) == len(docs)
     for (i, text, *_), (bad, kept, distance) in zip(docs, by_hand.quality_verdicts(docs)):
