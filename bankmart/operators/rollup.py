@@ -2,7 +2,8 @@
 
 Latest and earliest records use ``max_by``/``min_by`` instead of a window: the aggregate
 combines on the map side, so a customer with a third of all loans is never sorted in one
-task. A struct of (date, tie breaker) makes the choice deterministic.
+task. A struct of (date, tie breaker) makes the choice deterministic. Where only an amount is
+wanted, date and amount are packed into one number, which a hash aggregate keeps in place.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from bankmart.functions import as_day, as_money, as_rate, col, month_gap
-from bankmart.schemas import PERFORMING
+from bankmart.schemas import MONEY, PERFORMING
 
 
 def record_per_key(
@@ -41,6 +42,39 @@ def first_per_key(df, keys, order, values) -> DataFrame:
     return record_per_key(df, keys, order, values, latest=False)
 
 
+# Room for the cents of a decimal(28,2) and their sign, as whole numbers in decimal digits.
+_PLACES = 30
+
+
+def _power(n: int) -> Column:
+    return F.lit(f"1{'0' * n}").cast(f"decimal({n + 1},0)")
+
+
+def pack(day: Column, amount: Column) -> Column:
+    """A date and an amount (up to decimal(28,2)) as one whole number in the order of both.
+
+    It fits the 16 bytes of a decimal that a hash aggregate updates in place, so the latest
+    amount of a key needs no sort of the rows. Missing dates and amounts come first.
+    """
+    number = F.coalesce(F.date_diff(day, F.lit("0001-01-01").cast("date")) + 1, F.lit(0))
+    cents = (amount.cast("decimal(28,2)") * 100).cast("decimal(30,0)") + _power(_PLACES - 1)
+    whole = number.cast("decimal(7,0)") * _power(_PLACES)
+    return (whole + F.coalesce(cents, F.lit(0).cast("decimal(30,0)"))).cast("decimal(38,0)")
+
+
+def unpack_amount(packed: Column, kind: str) -> Column:
+    """The amount of a packed number, NULL where it was missing."""
+    cents = packed % _power(_PLACES)
+    amount = (cents - _power(_PLACES - 1)).cast("decimal(30,0)") / F.lit(100).cast("decimal(3,0)")
+    return F.when(cents > 0, amount).cast(kind)
+
+
+def latest_amount(df: DataFrame, keys: Sequence[str], day: Column, amount: Column, kind: str) -> DataFrame:
+    """Per key, the amount of the last date (of several, the largest), by hash aggregation."""
+    packed = df.groupBy(*keys).agg(F.max(pack(day, amount)).alias("_packed"))
+    return packed.select(*keys, unpack_amount(F.col("_packed"), kind).alias("amount"))
+
+
 def weighted_avg(value: Column, weight: Column) -> Column:
     """Sum of weight times value over the sum of weights; NULL when the weights cancel."""
     return F.try_divide(F.sum(weight * value), F.sum(weight))
@@ -116,17 +150,14 @@ def latest_sum(loans: DataFrame, amount: str, alias: str) -> DataFrame:
     by_cutoff = loans.groupBy("id_cliente", as_day("fecha_corte").alias("fecha_corte")).agg(
         F.sum(as_money(amount)).alias(alias)
     )
-    return by_cutoff.groupBy("id_cliente").agg(F.max_by(F.col(alias), F.struct("fecha_corte")).alias(alias))
+    latest = latest_amount(by_cutoff, ["id_cliente"], F.col("fecha_corte"), F.col(alias), "decimal(28,2)")
+    return latest.withColumnRenamed("amount", alias)
 
 
 def loan_latest_instalment(loans: DataFrame) -> DataFrame:
     """Per loan, the instalment of the last cutoff."""
-    return latest_per_key(
-        loans,
-        ["id_credito"],
-        [as_day("fecha_corte"), as_money("cuota_mensual")],
-        {"cuota_mensual": as_money("cuota_mensual")},
-    )
+    latest = latest_amount(loans, ["id_credito"], as_day("fecha_corte"), as_money("cuota_mensual"), MONEY)
+    return latest.withColumnRenamed("amount", "cuota_mensual")
 
 
 def first_income(loans: DataFrame, alias: str = "first_income") -> DataFrame:
