@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from bankmart.sources import stage
@@ -20,8 +21,8 @@ from bankmart.sources import stage
 BITS_PER_DIMENSION, SEED = 4, 20
 #: Width of the error bound in standard deviations of an estimate.
 SIGMAS = 2.5
-#: Vectors and queries of a block.
-ROWS, QUERIES = 8192, 2048
+#: Vectors and queries of a block: each vector is copied once for so many queries, each query once for so many vectors.
+ROWS, QUERIES = 32_768, 16_384
 EVERY = 20
 TOP = 20
 
@@ -35,6 +36,24 @@ def valid(vectors: DataFrame) -> DataFrame:
     return own.where(F.size("v") == (sizes[0].d if sizes else 0))
 
 
+def centre(vectors: DataFrame) -> np.ndarray:
+    """Mean of the vectors, of one length; a row for each task and component is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total = 0, 0.0
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                n, total = n + len(x), total + x.sum(0)
+        if n:
+            parts = [np.arange(len(total)), np.full(len(total), n), total]
+            yield pa.RecordBatch.from_arrays([pa.array(p) for p in parts], names=["at", "n", "s"])
+
+    sums = vectors.select("v").mapInArrow(run, "at long, n long, s double").groupBy("at")
+    found = sums.agg((F.sum("s") / F.sum("n")).alias("x")).orderBy("at").collect()
+    return np.array([r.x for r in found])
+
+
 def rotation(dimension: int) -> np.ndarray:
     """The first ``dimension`` columns of a random orthogonal matrix of the code's length."""
     length = -(-dimension * BITS_PER_DIMENSION // 8) * 8
@@ -108,18 +127,16 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = TOP) -> DataFrame:
     with the query's own id. Ties go to the smaller vec_id. Null ids and vectors that are null, zero,
     of another dimension, or with null or non-finite parts take no part; an empty table gives
     no rows. Of rows with one vec_id each is a candidate; repeated queries are searched once for
-    each id (the row of the smallest vector).
+    each id (the row of the smallest vector). Columns of other names are not read.
 
     Codes and queries are cut into blocks by hash; each pair of blocks is a task of bounded size
     that hands on ``k`` rows for each query. A copy of the codes goes to each block of queries.
     """
     spark = vectors.sparkSession
     known = valid(vectors)
-    sums = known.select(F.posexplode("v").alias("at", "x")).groupBy("at").agg(F.avg("x").alias("x")).orderBy("at").collect()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not sums:
-        return spark.createDataFrame([], schema)
-    mean = np.array([r.x for r in sums])
+    mean = centre(known)
+    if not len(mean):
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     turn = rotation(len(mean))
     codes = stage(encode(known, mean), "ann-codes")
     n = codes.count()

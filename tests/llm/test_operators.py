@@ -603,3 +603,18 @@ def test_mixing_filter_keeps_the_order_of_the_mix(spark):
         if r.doc_id not in order:
             order.append(r.doc_id)
     assert order == sorted(order, key=first.get)
+
+
+def test_ann_other_columns_and_blocks(spark, monkeypatch):
+    """Columns of clashing names do no harm; many small blocks answer like one."""
+    rng = np.random.default_rng(13)
+    x = rng.standard_normal((400, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(None, x[0].tolist()), (20, None), (40, [0.0] * 8)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "vec_id AS v", "vec_id AS qb", "vec_id AS rb", "vec_id AS code", "vec_id AS score").repartition(3)
+    one = sorted(map(tuple, ann.nearest(frame).collect()))
+    monkeypatch.setattr(ann, "ROWS", 64)
+    monkeypatch.setattr(ann, "QUERIES", 8)
+    assert sorted(map(tuple, ann.nearest(frame).collect())) == one
+    assert np.allclose(ann.centre(ann.valid(frame)), x.mean(0)) and len(one) == 20 * 20
+    for q, rank, i, score in one:
+        assert abs(score - float((x[i] * x[q]).sum())) < 1e-12 and i != q
