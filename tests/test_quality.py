@@ -1,10 +1,12 @@
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from bankmart.functions import as_money
 from bankmart.operators import domains, keys, profile, reconcile, rules
+from catalog import all_queries
 from tests.frames import loans, rows, text
 
 
@@ -174,3 +176,16 @@ def test_latest_sum_and_ties(spark):
         {"id_cliente": "c", "id_credito": "2", "provision_constituida": "8"})
     customers = text(spark, "id_cliente provision_total_cliente", ("c", "15"), ("d", "1"))
     assert rows(reconcile.latest_sum_audit(customers, panel, "provision_total_cliente", "provision_constituida")) == []
+
+
+def test_key_value_probe_lists_every_loan_of_the_customers(spark):
+    panel = loans(
+        spark,
+        {"id_cliente": "101", "id_credito": "1", "moneda": "USD", "saldo_capital": "5.00"},
+        {"id_cliente": "101", "id_credito": "2", "moneda": "USD", "saldo_capital": "102061.09"},
+        {"id_cliente": "102", "id_credito": "3", "moneda": "USD", "saldo_capital": "102061.09"},
+    )
+    tables = SimpleNamespace(loans=panel)
+    found = {name: {r.id_credito for r in all_queries()[name].run(tables).collect()}
+             for name in ("dq_key_value_probe", "dq_key_value_probe_balances")}
+    assert found == {"dq_key_value_probe": {"1", "2"}, "dq_key_value_probe_balances": {"2"}}
