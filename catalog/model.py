@@ -51,7 +51,7 @@ query("row_count_check_payments", "n_before:n n_after:n diff:n",
       "SELECT b AS n_before, a AS n_after, a - b AS diff FROM (SELECT (SELECT count(*) FROM {mart_payments}) AS b, (SELECT count(*) FROM {fact_payments}) AS a) x")
 query("row_count_check_customers", "n_before:n n_after:n diff:n",
       lambda t: row_count_check(
-          t.mart_customers, G.fact_customers(t.mart_customers, t.dim_customer, t.dim_status, t.dim_rating)),
+          t.staged_customers, G.fact_customers(t.staged_customers, t.dim_customer, t.dim_status, t.dim_rating)),
       "SELECT b AS n_before, a AS n_after, a - b AS diff FROM (SELECT (SELECT count(*) FROM {mart_customers}) AS b, (SELECT count(*) FROM {fact_customers}) AS a) x")
 query("row_count_check_credits", "n_before:n n_after:n diff:n",
       lambda t: row_count_check(
@@ -103,7 +103,7 @@ query("fact_payments", forms({c: PAY_FORMS[c] for c in G.PAYMENT_FACT}),
 CUST_FORMS = {**S.CUSTOMER_TYPES, "es_cliente_preferente": "int", "tasa_endeudamiento_sistema_pct": S.RATE,
               **{c: "int" for c in ("id_cliente_PK", "id_status_t5", "id_calificacion_sk")}}
 query("fact_customers", forms({c: CUST_FORMS[c] for c in G.CUSTOMER_FACT}, tasa_endeudamiento_sistema_pct="r"),
-      lambda t: G.fact_customers(t.mart_customers, t.dim_customer, t.dim_status, t.dim_rating),
+      lambda t: G.fact_customers(t.staged_customers, t.dim_customer, t.dim_status, t.dim_rating),
       "SELECT * FROM {fact_customers}")
 query("fact_income", "fecha_mes:s " + " ".join(f"{c}:q" for c in G.INCOME_FACT[1:]),
       lambda t: G.fact_income(t.mart_income), "SELECT * FROM {mart_income}")
