@@ -170,7 +170,7 @@ def mixing_filter(docs: DataFrame) -> DataFrame:
     """
     row, slot = free_name(docs, "_row"), free_name(docs, "_slot")
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    numbered = stage(numbered, "mixing-documents")
+    numbered = stage(numbered, "mixing-documents", compression="zstd")
     rows = numbered.select("doc_id", F.col("source").cast("string").alias("source"), F.size(word_array(trimmed(F.col("text")))).cast("long").alias("size"), F.col(row).alias("row"))
     rows = stage(rows, "mixing-rows")
     targets = stage(source_targets(rows), "mixing-targets")
