@@ -46,6 +46,22 @@ def test_loan_panel_sums_lines_before_any_join(spark):
     assert any("RepartitionByExpression [k" in x for x in lines)
 
 
+def test_no_task_that_reads_orders_keeps_a_table_of_them(spark):
+    """Orders are counted behind the shuffle that deals them by key, however many one task reads."""
+    plan = spark.sql(SPARK_FIXTURES["loan_panel"], **given(spark))._jdf.queryExecution().optimizedPlan().toString()
+    orders = plan[plan.index("Aggregate [o_orderkey") :].splitlines()
+    assert "RepartitionByExpression [o_orderkey" in orders[1] and not any("Aggregate" in x for x in orders[2:])
+
+
+def test_orders_are_dealt_with_their_lines(spark, monkeypatch):
+    """As many partitions on both sides, from as soon as there are more parts than cores."""
+    tables = registry.Tables(spark, "")
+    monkeypatch.setattr(tables, "given", lambda name: given(spark)[name])
+    monkeypatch.setattr(registry, "LINES_AT_ONCE", 2)
+    plan = tables._fixture("loan_panel")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression [") == 2 and plan.count(f", {tables._line_parts.strip(', ')}\n") == 2
+
+
 def test_many_lines_are_dealt_by_their_number(spark, monkeypatch):
     tables = registry.Tables(spark, "")
     monkeypatch.setattr(tables, "given", lambda name: spark.range(100))
