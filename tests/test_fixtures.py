@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from bankmart.plans import galaxy
 from bankmart.schemas import CUSTOMER_KEYS, DAY, MONEY
+from bankmart.sources import stage
 from bankmart.sources.raw import bad_cells
 from catalog import registry
 from catalog.fixtures import FIXTURES, SPARK_FIXTURES
@@ -71,6 +72,21 @@ def test_many_lines_are_dealt_by_their_number(spark, monkeypatch):
     assert tables._line_parts == "100, "
 
 
+def test_both_statements_read_the_month_sums_once(spark, monkeypatch):
+    lines = given(spark)["lineitem"].selectExpr("*", "'F' AS l_linestatus").where("l_shipdate IS NOT NULL AND l_orderkey IS NOT NULL")
+    tables, apart = registry.Tables(spark, ""), registry.Tables(spark, "")
+    staged = []
+    monkeypatch.setattr(registry, "stage", lambda df, name: staged.append(name) or stage(df, name))
+    for t in (tables, apart):
+        t.__dict__.update(loans=None, payments=None, customers=None)
+        monkeypatch.setattr(t, "given", lambda name: {"lineitem": lines}[name])
+    both = tables.raw
+    assert staged == ["month_sums"]
+    for df, alone in ((both.income, apart.income), (both.balance, apart.balance)):
+        assert "l_extendedprice" not in df._jdf.queryExecution().optimizedPlan().toString()
+        assert df.dtypes == alone.dtypes and sorted(rows(df)) == sorted(rows(alone)) and df.count() == 2
+
+
 def test_dimensions_write_no_more_of_the_loans_than_they_read(spark, monkeypatch):
     staged = {}
     monkeypatch.setattr(registry, "stage", lambda df, name: staged.update({name: df}) or df)

@@ -48,6 +48,13 @@ def test_hot_key_is_found_and_spread(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def test_only_rows_that_are_cut_are_hashed(spark):
+    """The salt of a wide row with a common key costs no hash of its columns."""
+    plan = lookup(skewed(spark), dimension(spark), ["k"], share=4)._jdf.queryExecution().optimizedPlan().toString()
+    salts = [line for line in plan.splitlines() if "AS _salt" in line and "xxhash64" in line]
+    assert salts and all("ELSE 0 END AS _salt" in line for line in salts)
+
+
 def test_number_of_hot_keys_is_bounded(spark):
     even = spark.range(1000).select((F.col("id") % 10).alias("k"))
     assert hot_keys(even, ["k"], share=10).count() == 0
