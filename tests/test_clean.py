@@ -132,3 +132,12 @@ def test_portfolio_source_can_be_the_cleaned_loans(spark):
 def test_raw_tables_have_every_column(spark):
     assert set(RawTables.__dataclass_fields__) == set(S.RAW_COLUMNS)
     assert [len(S.RAW_COLUMNS[t]) for t in ("loans", "income", "balance", "payments", "customers")] == [53, 35, 40, 19, 27]
+
+
+def test_roll_up_converts_texts_before_its_rows_are_sorted(spark):
+    """No text of an amount reaches the aggregate: rows are narrow and each text is converted once."""
+    panel = loans(spark, {"id_cliente": "c", "id_credito": "1"}, id_cliente="c").where(F.rand() >= 0)
+    plan = rollup.loan_rollup(panel)._jdf.queryExecution().optimizedPlan().toString()
+    line = next(x for x in plan.splitlines() if "Aggregate [" in x)
+    assert "saldo_capital" not in line and "cast(fecha_corte" not in line and "balance" in line
+    assert rollup.loan_rollup(panel).first()["balance"] == Decimal("100.00")
