@@ -194,6 +194,17 @@ def test_few_keys_are_counted_exactly_and_nulls_not_at_all(spark):
     assert rows(keys.distinct_estimates(keys.distinct_sketches(df, "k", ["m"]))) == [(2,)]
 
 
+def test_many_keys_are_counted_exactly_in_any_union_of_slices(spark):
+    df = spark.range(60_000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 3).alias("m"))
+    df = df.unionByName(df.where("m = 0").withColumn("m", F.lit(1))).unionByName(text(spark, "k m", (None, "7")).selectExpr("k", "INT(m) AS m"))
+    stored = stage(keys.distinct_sketches(df.unionByName(df), "k", ["m"]), "keys-seen")
+    assert sorted(rows(keys.distinct_estimates(stored, ["m"]))) == [(0, 20_000), (1, 40_000), (2, 20_000), (7, 0)]
+    halves = stored.selectExpr("m = 2 AS late", "keys_seen")
+    assert sorted(rows(keys.distinct_estimates(halves, ["late"]))) == [(False, 40_000), (True, 20_000)]
+    assert rows(keys.distinct_estimates(stored)) == [(60_000,)]
+    assert rows(keys.distinct_estimates(stored.where("m > 9"))) == [(0,)]
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
     a = write_bucketed(spark.range(400).select((F.col("id") % 50).alias("k"), "id"), "bucket_a", str(tmp_path / "a"), ["k"], 4)
     b = write_bucketed(spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")), "bucket_b", str(tmp_path / "b"), ["k"], 4)
