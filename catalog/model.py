@@ -7,10 +7,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from bankmart import schemas as S
+from bankmart.functions import as_day
 from bankmart.operators import dimension as D
+from bankmart.operators.clean import instalments
 from bankmart.operators.keys import row_count_check
-from bankmart.plans import galaxy as G
-from bankmart.sources import mart_view, read_raw, staging_root, write_table
+from bankmart.plans import galaxy as G, marts
+from bankmart.sources import in_rounds, mart_view, read_raw, staging_root, write_table
 from catalog.cleaning import forms
 from catalog.registry import query
 
@@ -35,7 +37,11 @@ query("mart_view", "segmento:s n:n portfolio:m",
 
 def table_rewrite(t):
     path = f"{staging_root(t.spark)}/payments-{uuid.uuid4().hex}"
-    typed = t.mart_payments.withColumn("mes", F.last_day("fecha_vencimiento_cuota"))
+    found = instalments(t.payments, t.loans) if t.rounds > 1 else None
+    # Whole months go to a round, so that a round of the written table needs no rows of another.
+    months = in_rounds(t.payments, [F.last_day(as_day("fecha_vencimiento_cuota"))], t.rounds)
+    typed = [marts.mart_payments(part, t.loans, found).withColumn("mes", F.last_day("fecha_vencimiento_cuota"))
+             for part in months]
     return write_table(typed, path, ["mes"]).groupBy("mes").agg(
         F.count("*").alias("n"), F.sum("monto_pagado").alias("paid"))
 
