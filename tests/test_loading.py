@@ -1,6 +1,8 @@
 """Rejects of the read, versions, months, stable keys, counted rows, sketches, bucketed tables."""
 
 import os
+import time
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,9 +11,11 @@ from bankmart import schemas as S
 from bankmart.operators import dimension as D, keys
 from bankmart.plans import galaxy as G
 from bankmart.sources import (
-    counted, load_raw, publish_table, read_published, replace_partitions, stage, staging_root, temporary_stages, versions,
-    write_bucketed, write_counted, write_table,
+    counted, in_rounds, load_raw, publish_table, read_published, release, replace_partitions, stage, stage_rounds,
+    staging_root, temporary_stages, versions, write_bucketed, write_counted, write_table,
 )
+from bankmart.sources.staging import CLEAN_UP
+from catalog.loading import delivered
 from catalog.registry import Tables
 from tests.frames import rows, text
 
@@ -205,6 +209,54 @@ def test_many_keys_are_counted_exactly_in_any_union_of_slices(spark):
     assert rows(keys.distinct_estimates(stored.where("m > 9"))) == [(0,)]
 
 
+def test_delivered_lines_are_removed_and_parsed_rows_are_small(spark):
+    before = set(os.listdir(staging_root(spark)))
+    loaded = delivered(Tables(spark, SF), "customers")
+    new = set(os.listdir(staging_root(spark))) - before
+    assert not [n for n in new if n.startswith("delivered")]
+    assert loaded.good.inputFiles() and all(f.endswith(".zstd.parquet") for f in loaded.good.inputFiles())
+    assert loaded.rejects.where("kind = 'line'").count() > 0
+
+
+def test_shuffles_are_removed_when_a_table_is_written(spark):
+    def files():
+        return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(",").count("shuffle_")
+
+    def settled(most):
+        for _ in range(40):
+            if files() <= most:
+                break
+            time.sleep(0.25)
+        return files()
+
+    kept = spark.conf.get(CLEAN_UP)
+    n = files()
+    stage(spark.range(2000).groupBy((F.col("id") % 9).alias("k")).count(), "summed")
+    assert settled(n) <= n and spark.conf.get(CLEAN_UP) == kept
+
+
+def test_a_table_in_rounds_is_the_table(spark, tmp_path):
+    df = text(spark, "k v", *[(str(i % 11), str(i)) for i in range(300)], (None, "x"), (None, "x"))
+    parts = in_rounds(df, ["k"], 4)
+    for table, n in (write_counted(parts, str(tmp_path / "t"), ["k"]), (stage_rounds(parts, "parts"), 302)):
+        assert n == 302 and sorted(rows(table.selectExpr("STRING(k)", "v")), key=str) == sorted(rows(df), key=str)
+    again = write_table(parts[:1], str(tmp_path / "t"), ["k"])
+    assert again.count() == parts[0].count() < 302
+    staged = stage(df, "gone")
+    release(staged)
+    assert not [f for f in os.listdir(staging_root(spark)) if f.startswith("gone-")]
+
+
+def test_a_galaxy_in_rounds_is_the_galaxy(spark, tmp_path):
+    t = Tables(spark, SF)
+    loans, payments, customers = (stage(df, "raw") for df in (t.loans, t.payments, t.customers))
+    raw = replace(t.raw, loans=loans, payments=payments, customers=customers)
+    whole, parts = (G.build_galaxy(raw, str(tmp_path / str(n)), rounds=n) for n in (1, 3))
+    assert whole.keys() == parts.keys()
+    for name in ("load_guard", "fact_credits", "fact_payments", "fact_customers", "fact_balance"):
+        assert sorted(map(str, rows(whole[name]))) == sorted(map(str, rows(parts[name].select(*whole[name].columns))))
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
     a = write_bucketed(spark.range(400).select((F.col("id") % 50).alias("k"), "id"), "bucket_a", str(tmp_path / "a"), ["k"], 4)
     b = write_bucketed(spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")), "bucket_b", str(tmp_path / "b"), ["k"], 4)
